@@ -59,6 +59,11 @@ TRACKED: Mapping[str, Sequence[str]] = {
                  "product_weight", "recyclable", "low_fat"),
 }
 
+# Stock bands, upper bounds exclusive.
+OUT_OF_STOCK = "OUT_OF_STOCK"
+STOCK_BANDS = ((20, "LOW_STOCK"), (50, "MEDIUM"))
+PLENTY = "HEALTHY"
+
 # What happens to each CSV column that does not stay as it landed.
 CSV_CONVERSIONS: Mapping[str, Mapping[str, Callable[[str], Column]]] = {
     "transactions": {"transaction_date": parse_date, "quantity": whole_number},
@@ -87,9 +92,12 @@ def quantity_status(name: str = "quantity") -> Column:
 
 
 def stock_status(name: str = "quantity_remaining") -> Column:
+    """Stock band of a quantity; a negative one is low, an unknown one healthy."""
     level = F.col(name)
-    bands = F.when(level == 0, "OUT_OF_STOCK").when(level < 20, "LOW_STOCK")
-    return bands.when(level < 50, "MEDIUM").otherwise("HEALTHY")
+    band = F.when(level == 0, OUT_OF_STOCK)
+    for below, label in STOCK_BANDS:
+        band = band.when(level < below, label)
+    return band.otherwise(PLENTY)
 
 
 def restocked(name: str = "quantity_added") -> Column:
