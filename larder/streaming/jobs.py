@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.operators.dedup import keep_first_seen
@@ -84,6 +84,6 @@ def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> St
 
 def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The two sides of ``run_split``; the verdict prunes partitions."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    valid = rows.where(f"{VERDICT}").drop(VERDICT, REASON, "batch")
-    return valid, rows.where(f"NOT {VERDICT}").drop(VERDICT, "batch")
+    rows = spark.read.parquet(path).withColumn(VERDICT, F.col(VERDICT).cast("boolean"))
+    valid = rows.where(F.col(VERDICT)).drop(VERDICT, REASON, "batch")
+    return valid, rows.where(~F.col(VERDICT)).drop(VERDICT, "batch")
