@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from larder.operators.scd2 import HOT_ROWS, Spec, history
 from larder.streaming.jobs import run_batches
@@ -52,7 +52,7 @@ def apply_changes(batch: DataFrame, batch_id: int, spec: Spec, path: str,
 
 
 def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    logged = StructType(schema.fields).add(_BATCH, "bigint")
+    logged = StructType([*schema.fields, StructField(_BATCH, LongType())])
     return spark.read.schema(logged).parquet(f"{path}/changes")
 
 
