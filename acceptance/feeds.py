@@ -7,7 +7,7 @@ covers its whole tables.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +20,24 @@ AS_OF = "2024-01-31 00:00:00"       # operations queries look back from here ...
 LOOKBACK = "31 days"                # ... over all of the events
 REGION = "Asia"                     # the region with its own managers
 
+# The tables' schemas, stated so that opening one needs no job.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": """c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,
+        c_mktsegment STRING""",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
+        o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+}
+
 
 def moment(text: str) -> Column:
     return F.lit(text).cast("timestamp")
@@ -43,8 +61,9 @@ class Lake:
         self.clock = moment(CLOCK)
         self.window = ops.Window(moment(AS_OF), LOOKBACK)
 
+    @cache
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- feeds ---------------------------------------------------------------------
 
@@ -55,7 +74,9 @@ class Lake:
             F.expr("CAST(l_quantity AS INT) AS qty"))
         heads = self.table("orders").selectExpr(
             "o_orderkey", "o_custkey", f"{us_date('o_orderdate')} AS ds")
-        return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        # Both sides grow alike, so neither is ever meant to be broadcast.
+        joined = lines.join(heads.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return joined.selectExpr(
             "l_orderkey", "l_linenumber",
             """CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 <> 0
                     THEN CAST(l_partkey AS STRING) END AS product_id""",
@@ -252,10 +273,12 @@ class Lake:
     def silver_products(self) -> DataFrame:
         return silver.silver_products(self.products, ["ingestion_timestamp"], self.clock)
 
+    @cache
     def valid(self, table: str) -> DataFrame:
         rows, rules = self._ruled(table)
         return silver.mark_valid(quality.valid(rows, rules), self.clock)
 
+    @cache
     def quarantine(self, table: str) -> DataFrame:
         rows, rules = self._ruled(table)
         return quality.quarantined(rows, rules, clock=self.clock)
@@ -299,9 +322,11 @@ class Lake:
         return {"products": self.product_changes, "customers": self.customer_changes,
                 "stores": self.store_changes, "changes": self.changes}[table]
 
+    @cache
     def versions(self, table: str) -> DataFrame:
         return scd2.history(self.feed(table), self.spec[table])
 
+    @cache
     def latest(self, table: str) -> DataFrame:
         return scd2.latest_state(self.feed(table), self.spec[table])
 
