@@ -1,69 +1,156 @@
 """History kept up to date from a stream of changes.
 
-Layout below ``path``:
+Three append-only tables below ``path``, each with one folder per micro-batch:
 
-* ``changes/batch=N`` -- the changes of micro-batch N, as they came;
-* ``versions/batch=N`` -- for the keys that batch N touched, all their versions after it.
+* ``changes``  -- the changes as they came, partitioned by a hash bucket of the key;
+* ``touched``  -- the keys of the batch, and from which version start on it replaces what
+  earlier batches wrote for them (NULL: all of it);
+* ``versions`` -- the versions the batch wrote for these keys, open ones apart.
 
-A batch only ever overwrites its own two folders, which makes a repeated batch harmless.
-A change may arrive late: versions of a touched key are recomputed from its whole change
-log, so the result does not depend on arrival order.  Readers take each key's versions
-from the last batch that touched it.
+A batch continues a key from its open version, which carries the key's whole state, so
+the cost of a batch follows the batch and not the history.  Only keys with a change at or
+before one already applied are recomputed from their change log; the key's bucket limits
+that scan.  The history therefore does not depend on arrival order.
+
+A batch reads earlier batches and overwrites its own folders only, which makes a repeated
+batch harmless.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
-from larder.operators.scd2 import HOT_ROWS, Spec, history
+from larder.functions.scalar import all_of
+from larder.operators.scd2 import END, HOT_ROWS, START, Spec, history
 from larder.streaming.jobs import run_batches
 
-_BATCH = "batch"
+BUCKETS = 64
+
+_BATCH, _BUCKET, _OPEN = "batch", "bucket", "is_open"
+_LAST = "__last_at"        # open versions: the key's latest applied change
+_FROM, _LATE = "__from", "__late"
 
 
 def run_history(stream: DataFrame, spec: Spec, path: str, checkpoint: str,
                 hot_rows: int = HOT_ROWS) -> StreamingQuery:
-    schema = stream.schema
-
+    """Apply all changes that have arrived, then stop."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_changes(batch, batch_id, spec, path, schema, hot_rows)
+        apply_changes(batch, batch_id, spec, path, hot_rows)
 
     return run_batches(stream, apply, checkpoint)
 
 
 def apply_changes(batch: DataFrame, batch_id: int, spec: Spec, path: str,
-                  schema: StructType, hot_rows: int = HOT_ROWS) -> None:
-    """Add one micro-batch to the log and recompute the keys it touches."""
-    spark = batch.sparkSession
-    own = f"{path}/changes/{_BATCH}={batch_id}"
-    batch.write.mode("overwrite").parquet(own)
-    touched = spark.read.schema(schema).parquet(own).select(*spec.keys).distinct()
-    seen = read_changes(spark, path, schema).where(F.col(_BATCH) <= batch_id).drop(_BATCH)
-    same_key = None
-    log, keys = seen.alias("log"), touched.alias("keys")
-    for k in spec.keys:
-        match = F.col(f"log.{k}").eqNullSafe(F.col(f"keys.{k}"))
-        same_key = match if same_key is None else same_key & match
-    affected = log.join(keys, same_key, "left_semi")
-    history(affected, spec, hot_rows).write.mode("overwrite").parquet(
-        f"{path}/versions/{_BATCH}={batch_id}")
-
-
-def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    logged = StructType([*schema.fields, StructField(_BATCH, LongType())])
-    return spark.read.schema(logged).parquet(f"{path}/changes")
+                  hot_rows: int = HOT_ROWS) -> None:
+    """Write the three folders of one micro-batch."""
+    spark, names = batch.sparkSession, batch.columns
+    _prepare(batch, spec, path)
+    bucketed = batch.withColumn(_BUCKET, _bucket(spec))
+    new = _store(bucketed, path, "changes", batch_id, _BUCKET)
+
+    opened = _open_versions(spark, path, spec, batch_id)
+    touched = _store(_touch(new, opened, spec), path, "touched", batch_id)
+    in_order, late = touched.where(~F.col(_LATE)), touched.where(_LATE)
+
+    seeds = _matching(opened, in_order, spec, "left_semi")
+    seed_rows = seeds.select(
+        *(F.col(_LAST).alias(c) if c == spec.sequence_by
+          else F.col(c) if c in seeds.columns else F.lit(None).alias(c) for c in names))
+    changes = _matching(new.select(*names), in_order, spec, "left_semi").unionByName(seed_rows)
+    if not late.isEmpty():
+        logged = _before(spark, path, "changes", batch_id + 1)
+        replay = _matching(logged, late.withColumn(_BUCKET, _bucket(spec)), spec,
+                           "left_semi", _BUCKET)
+        changes = changes.unionByName(replay.select(*names))
+
+    last = changes.groupBy(*spec.keys).agg(F.max(spec.sequence_by).alias(_LAST))
+    kept = seeds.select(*spec.keys, F.col(START).alias("__since"), F.col(_LAST).alias("__at"))
+    versions = _matching(history(changes, spec, hot_rows), kept, spec, "left",
+                         add=("__since", "__at"))
+    versions = versions.withColumn(
+        START, F.when(F.col(START) == F.col("__at"), F.col("__since")).otherwise(F.col(START)))
+    versions = _matching(versions.drop("__since", "__at"), last, spec, "left", add=(_LAST,))
+    _store(versions.withColumn(_OPEN, F.col(END).isNull()), path, "versions", batch_id, _OPEN)
 
 
 def read_history(spark: SparkSession, path: str, spec: Spec) -> DataFrame:
-    """Each key's versions from the last batch that touched it."""
-    versions = spark.read.parquet(f"{path}/versions").withColumn(
-        "__key", F.struct(*spec.keys))
-    last = versions.groupBy("__key").agg(F.max(_BATCH).alias(_BATCH))
-    return versions.join(last, ["__key", _BATCH], "left_semi").drop("__key", _BATCH)
+    """All versions that no later batch has replaced."""
+    later = (
+        Window.partitionBy(*spec.keys).orderBy(F.desc(_BATCH))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    replaced = spark.read.parquet(f"{path}/touched").select(
+        *spec.keys, _BATCH,
+        F.max(F.col(_FROM).isNull()).over(later).alias("__all"),
+        F.min(_FROM).over(later).alias("__cut"),
+    )
+    versions = spark.read.parquet(f"{path}/versions")
+    live = _matching(versions, replaced, spec, "inner", _BATCH, add=("__all", "__cut"))
+    keep = ~F.coalesce("__all", F.lit(False)) & (
+        F.col("__cut").isNull() | (F.col(START) < F.col("__cut")))
+    return live.where(keep).drop("__all", "__cut", _BATCH, _OPEN, _LAST)
 
 
 def compact(spark: SparkSession, path: str, spec: Spec, target: str) -> None:
-    """Write the present history as one table, without superseded versions."""
+    """Write the present history as one plain table."""
     read_history(spark, path, spec).write.mode("overwrite").parquet(target)
+
+
+# -- parts -------------------------------------------------------------------------
+
+def _bucket(spec: Spec) -> Column:
+    return F.pmod(F.xxhash64(*spec.keys), F.lit(BUCKETS)).cast("int")
+
+
+def _store(df: DataFrame, path: str, table: str, batch_id: int,
+           partition_by: str | None = None) -> DataFrame:
+    """Write one folder of one batch and read it back, so that nothing is computed twice."""
+    own = f"{path}/{table}/{_BATCH}={batch_id}"
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(own)
+    return df.sparkSession.read.schema(df.schema).parquet(own)
+
+
+def _before(spark: SparkSession, path: str, table: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/{table}").where(F.col(_BATCH) < batch_id)
+
+
+def _prepare(batch: DataFrame, spec: Spec, path: str) -> None:
+    """Empty first folders, so that the first batch reads like any other."""
+    attrs, at = spec.attributes(batch), F.col(spec.sequence_by)
+    none = batch.where(F.lit(False))
+    empty = {
+        f"changes/{_BATCH}=-1/{_BUCKET}=0": none,
+        f"touched/{_BATCH}=-1": none.select(
+            *spec.keys, at.alias(_FROM), F.lit(False).alias(_LATE)),
+        f"versions/{_BATCH}=-1/{_OPEN}=false": none.select(
+            *spec.keys, *attrs, at.alias(START), at.alias(END), at.alias(_LAST)),
+    }
+    for folder, df in empty.items():
+        df.write.mode("ignore").parquet(f"{path}/{folder}")
+
+
+def _open_versions(spark: SparkSession, path: str, spec: Spec, batch_id: int) -> DataFrame:
+    """The open version of every key, from the last batch before this one that wrote it."""
+    rows = _before(spark, path, "versions", batch_id).where(
+        F.col(_OPEN) == "true").drop(_OPEN)
+    row = F.struct(*(c for c in rows.columns if c not in (*spec.keys, _BATCH)))
+    latest = rows.groupBy(*spec.keys).agg(F.max_by(row, _BATCH).alias("row"))
+    return latest.select(*spec.keys, "row.*")
+
+
+def _touch(new: DataFrame, opened: DataFrame, spec: Spec) -> DataFrame:
+    """The batch's keys; late ones have a change no later than one already applied."""
+    firsts = new.groupBy(*spec.keys).agg(F.min(spec.sequence_by).alias("__first"))
+    known = _matching(firsts, opened, spec, "left", add=(START, _LAST))
+    late = F.coalesce(F.col("__first") <= F.col(_LAST), F.lit(False))
+    return known.select(*spec.keys, F.when(~late, F.col(START)).alias(_FROM), late.alias(_LATE))
+
+
+def _matching(left: DataFrame, right: DataFrame, spec: Spec, how: str, *also: str,
+              add: tuple[str, ...] = ()) -> DataFrame:
+    """A join on the key columns in which NULL keys match each other."""
+    same = all_of(F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*spec.keys, *also))
+    return left.alias("l").join(right.alias("r"), same, how).select(
+        "l.*", *(f"r.{c}" for c in add))
