@@ -144,10 +144,19 @@ def silver_csv(bronze: DataFrame, table: str, order_by: Sequence[str | Column] =
 
 # -- topics ------------------------------------------------------------------------
 
+def _parse_payload(bronze: DataFrame, schema: str) -> DataFrame:
+    """Payload fields and broker time; an unreadable payload gives NULL fields.
+
+    The parsed struct is unpacked by a generator on purpose: a filter on a field stays
+    above it.  Below a plain projection it would parse every payload a second time.
+    """
+    parsed = F.array(F.from_json("raw_payload", schema))
+    return bronze.select(F.inline(parsed), "timestamp")
+
+
 def flatten_orders(bronze: DataFrame) -> DataFrame:
     """Payload fields as columns next to the broker time."""
-    parsed = bronze.select(F.from_json("raw_payload", ORDER_PAYLOAD).alias("p"), "timestamp")
-    return parsed.select("p.*", "timestamp").withColumns({
+    return _parse_payload(bronze, ORDER_PAYLOAD).withColumns({
         "order_date": parse_date("order_date"),
         "event_timestamp": F.col("timestamp"),
     })
@@ -155,8 +164,7 @@ def flatten_orders(bronze: DataFrame) -> DataFrame:
 
 def flatten_inventory(bronze: DataFrame) -> DataFrame:
     """Payload fields as columns; here the event time comes from the payload."""
-    parsed = bronze.select(F.from_json("raw_payload", INVENTORY_PAYLOAD).alias("p"), "timestamp")
-    return parsed.select("p.*", "timestamp").withColumns({
+    return _parse_payload(bronze, INVENTORY_PAYLOAD).withColumns({
         "event_timestamp": F.try_to_timestamp(F.col("event_timestamp")),
         "processing_time": F.col("timestamp"),
     })

@@ -67,6 +67,13 @@ def inventory(bronze: DataFrame, clock: Column | None = None,
     return silver.enrich_inventory(rows, clock)
 
 
+def documents(bronze: DataFrame, table: str, clock: Column | None = None) -> DataFrame:
+    """Flattened customer or product documents, the first one seen per key."""
+    conform = {"customers": silver.conform_customers, "products": silver.conform_products}
+    rows = keep_first_seen(conform[table](bronze), silver.KEYS[table])
+    return silver.stamp(rows, clock)
+
+
 # -- split -------------------------------------------------------------------------
 
 def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> StreamingQuery:
