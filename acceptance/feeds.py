@@ -1,7 +1,7 @@
 """The test tables in the shapes of the retail feeds.
 
-Defects (missing ids, bad dates, wrong quantities, repeated deliveries, revisions) are
-derived from row values, so that the SQL oracle can derive the same ones.  Every feed
+Defects (missing and unknown ids, bad dates, wrong quantities, repeated deliveries,
+revisions) are derived from row values, so that the SQL oracle can derive the same ones.  Every feed
 covers its whole tables.
 """
 
@@ -87,12 +87,16 @@ class Lake:
         joined = lines.join(heads.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         return joined.selectExpr(
             "l_orderkey", "l_linenumber",
-            """CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 <> 0
-                    THEN CAST(l_partkey AS STRING) END AS product_id""",
-            """CASE WHEN (l_orderkey + l_partkey) % 103 <> 0
-                    THEN CAST(o_custkey AS STRING) END AS customer_id""",
-            """CASE WHEN (l_orderkey * 3 + l_suppkey) % 107 <> 0
-                    THEN CAST(l_suppkey AS STRING) END AS store_id""",
+            """CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 = 0 THEN NULL
+                    WHEN l_orderkey % 127 = 0 THEN concat('X', l_partkey)
+                    ELSE CAST(l_partkey AS STRING) END AS product_id""",
+            """CASE WHEN (l_orderkey + l_partkey) % 103 = 0 THEN NULL
+                    WHEN (l_orderkey + l_suppkey) % 131 = 0 THEN concat('X', o_custkey)
+                    ELSE CAST(o_custkey AS STRING) END AS customer_id""",
+            """CASE WHEN (l_orderkey * 3 + l_suppkey) % 107 = 0 THEN NULL
+                    WHEN (l_orderkey * 5 + l_partkey) % 137 = 0
+                    THEN CAST(l_suppkey + 1000000 AS STRING)
+                    ELSE CAST(l_suppkey AS STRING) END AS store_id""",
             """CASE WHEN (l_partkey + l_suppkey) % 109 = 0
                     THEN 'not-a-date' ELSE ds END AS transaction_date""",
             """CASE WHEN (l_orderkey + l_linenumber) % 113 = 0 THEN NULL

@@ -130,12 +130,16 @@ _INCOME = """CASE WHEN c_acctbal + 2000 * rev < 2000 THEN '$10K - $30K'
 CTES: dict[str, str] = {
     # feeds
     "f_transactions": f"""SELECT l_orderkey, l_linenumber,
-        CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 <> 0
-             THEN CAST(l_partkey AS VARCHAR) END AS product_id,
-        CASE WHEN (l_orderkey + l_partkey) % 103 <> 0
-             THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
-        CASE WHEN (l_orderkey * 3 + l_suppkey) % 107 <> 0
-             THEN CAST(l_suppkey AS VARCHAR) END AS store_id,
+        CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 = 0 THEN NULL
+             WHEN l_orderkey % 127 = 0 THEN 'X' || l_partkey
+             ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+        CASE WHEN (l_orderkey + l_partkey) % 103 = 0 THEN NULL
+             WHEN (l_orderkey + l_suppkey) % 131 = 0 THEN 'X' || o_custkey
+             ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+        CASE WHEN (l_orderkey * 3 + l_suppkey) % 107 = 0 THEN NULL
+             WHEN (l_orderkey * 5 + l_partkey) % 137 = 0
+             THEN CAST(l_suppkey + 1000000 AS VARCHAR)
+             ELSE CAST(l_suppkey AS VARCHAR) END AS store_id,
         CASE WHEN (l_partkey + l_suppkey) % 109 = 0 THEN 'not-a-date'
              ELSE {_us('o_orderdate')} END AS transaction_date,
         CASE WHEN (l_orderkey + l_linenumber) % 113 = 0 THEN NULL

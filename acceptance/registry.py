@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from acceptance.feeds import CLOCK, REGION, Lake, moment, plain
-from acceptance.landing import (bronze_files, bronze_table, corrupt_lines, evolving_folder,
-                                landed_lineage, late_orders, logged, streamed_documents,
-                                streamed_history, streamed_inventory, streamed_orders,
-                                streamed_split, streamed_topic, text_columns)
+from acceptance.landing import (bronze_files, corrupt_lines, evolving_folder, landed_lineage,
+                                late_orders, logged, streamed_documents, streamed_history,
+                                streamed_inventory, streamed_orders, streamed_split,
+                                streamed_topic, text_columns)
 from acceptance.oracle import _CLOCK, _NOW, _RULES, _n, _reason, _round2, _verdict, query
 from larder.functions.scalar import full_name, minute_of, parse_date, upper_case
 from larder.operators import audit, checks, quality, scd2
@@ -432,7 +432,7 @@ add("fk_orphans_inventory_product",
     """SELECT CAST(product_id AS VARCHAR) AS product_id, COUNT(*) AS n_rows
        FROM v_inventory f WHERE NOT EXISTS (SELECT 1 FROM d_product p
        WHERE p.product_id = CAST(f.product_id AS VARCHAR)) GROUP BY 1""")
-add("fk_orphans_returns_rows",
+add("fk_orphan_rows_transactions_store",
     lambda lake: plain(checks.orphan_rows(
         lake.silver_transactions.withColumn("store_id", F.col("store_id").try_cast("int")),
         lake.dim_store, "store_id").drop("l_orderkey", "l_linenumber")),
@@ -574,9 +574,15 @@ add("rate_ranges",
 # -- run log -----------------------------------------------------------------------
 
 def _row_counts(lake: Lake) -> DataFrame:
-    return audit.row_count_rows(
-        _run(), "silver", "transactions", input=lake.transactions,
-        output=lake.valid("transactions"), quarantined=lake.quarantine("transactions"))
+    judged = quality.judge(lake.silver_transactions, quality.TRANSACTION_RULES)
+    counts = audit.split_counts(lake.transactions, judged)
+    return audit.row_count_rows(counts, _run(), "silver", "transactions")
+
+
+def _layer_counts(lake: Lake) -> DataFrame:
+    counts = audit.table_counts(input=lake.order_records, output=lake.silver_orders)
+    return audit.row_count_rows(counts, _run(), "silver", "orders").select(
+        "message", "row_count_input", "row_count_output", "row_count_quarantined")
 
 
 def _dq(lake: Lake) -> DataFrame:
@@ -616,6 +622,11 @@ _DQ_SQL = f"""SELECT {_RUN_SQL}, 'transactions' AS table_name, 'DQ_CHECK' AS eve
     '{{"check":"' || rule || '","passed":' || (failed = 0) || ',"details":"' || failed ||
     ' rows failed"}}' AS extra_metrics FROM ({_counts_sql("s_transactions", _T_RULES)})"""
 add("row_count_audit", lambda lake: _row_counts(lake).select(*_LOG), _ROW_COUNT_SQL)
+add("row_count_layers", _layer_counts,
+    """SELECT '[SILVER] orders — row_counts: input=' || i || ', output=' || o AS message,
+       i AS row_count_input, o AS row_count_output,
+       CAST(NULL AS BIGINT) AS row_count_quarantined FROM
+       (SELECT (SELECT COUNT(*) FROM f_orders) AS i, (SELECT COUNT(*) FROM s_orders) AS o)""")
 add("dq_summary", lambda lake: _dq(lake).select(*_LOG), _DQ_SQL)
 add("metric_log", lambda lake: _metrics(lake).select(*_LOG),
     f"""SELECT {_RUN_SQL}, 'orders' AS table_name, 'METRIC' AS event_type,

@@ -118,8 +118,12 @@ def orphan_keys(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def missing_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct key values of ``df`` that ``other`` does not have; NULLs compare equal."""
-    return df.select(*keys).subtract(other.select(*keys))
+    """Distinct key values of ``df`` that ``other`` does not have; NULLs compare equal.
+
+    Both sides are made distinct first: EXCEPT alone would move every row of a fact before
+    it drops the copies.
+    """
+    return df.select(*keys).distinct().subtract(other.select(*keys).distinct())
 
 
 def join_gaps(df: DataFrame, parent: DataFrame, key: str, attribute: str) -> DataFrame:

@@ -60,7 +60,7 @@ def file_headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
         for batch in batches:
             lines = []
             for uri in batch["path"]:
-                system, name = pyarrow.fs.FileSystem.from_uri(uri)
+                system, name = pyarrow.fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
                 with system.open_input_file(name) as handle:
                     lines.append(_first_line(handle))
             yield batch.assign(header=lines)
