@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larder.operators import quality, scd2
 from larder.plans import gold, ops, silver
+from larder.session import work_dir
 from larder.sources import lineage, topics
 
 CLOCK = "2024-02-01 00:00:00"       # stands in for the current time
@@ -344,28 +345,46 @@ class Lake:
         return scd2.latest_state(self.feed(table), self.spec[table])
 
     # -- star schema ---------------------------------------------------------------
+    #
+    # Facts join stored dimensions and reports read stored facts, as they do in a
+    # lakehouse: nothing is computed once per reader, sizes are known when a join is
+    # planned, and a hot key's partition sits right below the join that may split it.
+
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        path = work_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cache
+    def current(self, table: str) -> DataFrame:
+        return self._stored(f"current-{table}", self.latest(table))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return gold.dim_customer(self.latest("customers"))
+        return gold.dim_customer(self.current("customers"))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return gold.dim_product(self.latest("products"))
+        return gold.dim_product(self.current("products"))
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return gold.dim_store(self.latest("stores"), self.silver_regions)
+        return self._stored("dim-store", gold.dim_store(
+            self.latest("stores"), self.silver_regions))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
         return gold.fact_sales(self.valid("transactions"), self.valid("orders"),
-                               self.latest("products"))
+                               self.current("products"))
 
     @cached_property
     def fact_returns(self) -> DataFrame:
-        return gold.fact_returns(self.silver_returns, self.latest("products"))
+        return gold.fact_returns(self.silver_returns, self.current("products"))
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._stored("fact-sales", self.fact_sales)
 
     @cached_property
-    def agg_daily_sales(self) -> DataFrame:
-        return gold.agg_daily_sales(self.fact_sales, self.dim_store)
+    def returned(self) -> DataFrame:
+        return self._stored("fact-returns", self.fact_returns)

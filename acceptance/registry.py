@@ -287,22 +287,26 @@ add("scd2_overlaps",
 
 # -- gold --------------------------------------------------------------------------
 
-add("dim_customer", lambda lake: lake.dim_customer, "SELECT * FROM d_customer")
-add("dim_product", lambda lake: lake.dim_product, "SELECT * FROM d_product")
-add("dim_store", lambda lake: lake.dim_store, "SELECT * FROM d_store")
+add("dim_customer", lambda lake: gold.dim_customer(lake.latest("customers")),
+    "SELECT * FROM d_customer")
+add("dim_product", lambda lake: gold.dim_product(lake.latest("products")),
+    "SELECT * FROM d_product")
+add("dim_store", lambda lake: gold.dim_store(lake.latest("stores"), lake.silver_regions),
+    "SELECT * FROM d_store")
 add("sales_union",
     lambda lake: gold.sales_union(lake.valid("transactions"), lake.valid("orders")),
     "SELECT * FROM g_union")
 add("fact_sales", lambda lake: lake.fact_sales, "SELECT * FROM g_sales")
 add("fact_returns", lambda lake: lake.fact_returns, "SELECT * FROM g_returns")
-add("agg_daily_sales", lambda lake: lake.agg_daily_sales, "SELECT * FROM a_daily")
+add("agg_daily_sales", lambda lake: gold.agg_daily_sales(lake.fact_sales, lake.dim_store),
+    "SELECT * FROM a_daily")
 add("agg_monthly_sales",
-    lambda lake: gold.agg_monthly_sales(lake.fact_sales, lake.dim_product),
+    lambda lake: gold.agg_monthly_sales(lake.sales, lake.dim_product),
     "SELECT * FROM a_monthly")
 add("agg_store_performance",
-    lambda lake: gold.agg_store_performance(lake.fact_sales, lake.fact_returns),
+    lambda lake: gold.agg_store_performance(lake.sales, lake.returned),
     "SELECT * FROM a_stores")
-add("agg_return_kpi", lambda lake: gold.agg_return_kpi(lake.fact_sales, lake.fact_returns),
+add("agg_return_kpi", lambda lake: gold.agg_return_kpi(lake.sales, lake.returned),
     "SELECT * FROM a_returns")
 
 
@@ -322,13 +326,13 @@ for _who, _groups in _CALLERS.items():
         for c in ("total_revenue", "total_cost", "total_profit"))
     add(f"secure_fact_sales_{_who}",
         lambda lake, g=_groups: secure.secure_fact_sales(
-            lake.fact_sales, lake.dim_store, g, REGION),
+            lake.sales, lake.dim_store, g, REGION),
         f"""SELECT transaction_date, store_id, product_id, sales_region, quantity, {_masked}
             FROM g_sales LEFT JOIN (SELECT store_id, sales_region FROM d_store)
             USING (store_id) WHERE {_ROWS[_who]}""")
     add(f"secure_fact_returns_{_who}",
         lambda lake, g=_groups: secure.secure_fact_returns(
-            lake.fact_returns, lake.dim_store, g, REGION),
+            lake.returned, lake.dim_store, g, REGION),
         f"""SELECT g_returns.*, sales_region FROM g_returns
             LEFT JOIN (SELECT store_id AS s, sales_region FROM d_store) ON store_id = s
             WHERE {_ROWS[_who]}""")
@@ -409,10 +413,10 @@ def _fk(fact: str, parent: str, key: str, rows: Answer, keys: Answer, left: str,
 
 for _parent, _key in (("customer", "customer_id"), ("product", "product_id"),
                       ("store", "store_id")):
-    _fk("sales", _parent, _key, lambda lake: lake.fact_sales,
+    _fk("sales", _parent, _key, lambda lake: lake.sales,
         lambda lake, p=_parent: getattr(lake, f"dim_{p}"), "g_sales", f"d_{_parent}")
 for _parent, _key in (("product", "product_id"), ("store", "store_id")):
-    _fk("returns", _parent, _key, lambda lake: lake.fact_returns,
+    _fk("returns", _parent, _key, lambda lake: lake.returned,
         lambda lake, p=_parent: getattr(lake, f"dim_{p}"), "g_returns", f"d_{_parent}")
 add("fk_orphans_stores_region",
     lambda lake: checks.orphan_keys(lake.latest("stores"), lake.silver_regions, "region_id"),
@@ -443,13 +447,13 @@ for _key, _parent in (("product_id", "product"), ("store_id", "store"),
                       ("customer_id", "customer")):
     add(f"missing_dim_keys_{_parent}",
         lambda lake, k=_key, p=_parent: checks.missing_keys(
-            lake.fact_sales, getattr(lake, f"dim_{p}"), [k]),
+            lake.sales, getattr(lake, f"dim_{p}"), [k]),
         f"SELECT {_key} FROM g_sales EXCEPT SELECT {_key} FROM d_{_parent}")
 add("unused_products",
-    lambda lake: checks.missing_keys(lake.dim_product, lake.fact_sales, ["product_id"]),
+    lambda lake: checks.missing_keys(lake.dim_product, lake.sales, ["product_id"]),
     "SELECT product_id FROM d_product EXCEPT SELECT product_id FROM g_sales")
 add("unused_customers",
-    lambda lake: checks.missing_keys(lake.dim_customer, lake.fact_sales, ["customer_id"]),
+    lambda lake: checks.missing_keys(lake.dim_customer, lake.sales, ["customer_id"]),
     "SELECT customer_id FROM d_customer EXCEPT SELECT customer_id FROM g_sales")
 add("key_coverage",
     lambda lake: checks.missing_keys(
@@ -464,7 +468,7 @@ add("unique_key_check",
        AS is_unique FROM s_orders""")
 add("fact_grain",
     lambda lake: checks.duplicate_groups(
-        lake.fact_sales, ["product_id", "customer_id", "store_id", "transaction_date"]),
+        lake.sales, ["product_id", "customer_id", "store_id", "transaction_date"]),
     """SELECT product_id, customer_id, store_id, transaction_date, COUNT(*) AS n_rows
        FROM g_sales GROUP BY ALL HAVING COUNT(*) > 1""")
 add("bronze_duplicate_ratio",
@@ -497,7 +501,7 @@ add("split_completeness",
                (SELECT COUNT(*) FROM q_transactions) AS q)""")
 add("sum_reconciliation",
     lambda lake: checks.sums_agree(
-        lake.fact_sales, lake.agg_daily_sales,
+        lake.sales, gold.agg_daily_sales(lake.sales, lake.dim_store),
         F.sum(F.rint(F.col("total_revenue") * 100).cast("bigint")) / 100),
     """SELECT l AS lower_sum, u AS upper_sum, abs(l - u) <= 1 AS reconciles FROM
        (SELECT (SELECT CAST(SUM(CAST(total_revenue AS DECIMAL(20, 2))) AS DOUBLE)
@@ -541,7 +545,7 @@ add("source_tag_check",
     "SELECT 'fivetran' AS _source_system, COUNT(*) AS n_rows FROM c_products")
 add("measure_recheck",
     lambda lake: checks.wrong_sales_measures(
-        lake.fact_sales,
+        lake.sales,
         lake.dim_product.withColumn(
             "product_cost", F.when(F.col("low_fat") == 1, F.col("product_cost") + 5)
             .otherwise(F.col("product_cost")))),
@@ -549,13 +553,13 @@ add("measure_recheck",
        JOIN d_product USING (product_id) WHERE low_fat = 1 AND quantity <> 0""")
 add("return_amount_recheck",
     lambda lake: checks.wrong_return_amounts(
-        lake.fact_returns.withColumn(
+        lake.returned.withColumn(
             "return_amount", F.when(F.col("return_quantity") == 5, F.lit(1.0))
             .otherwise(F.col("return_amount"))), lake.dim_product),
     """SELECT * REPLACE (1.0::DOUBLE AS return_amount) FROM g_returns
        WHERE return_quantity = 5""")
 add("average_recheck",
-    lambda lake: checks.wrong_averages(lake.agg_daily_sales),
+    lambda lake: checks.wrong_averages(gold.agg_daily_sales(lake.sales, lake.dim_store)),
     """SELECT * FROM a_daily
        WHERE abs(avg_transaction_value - total_revenue / total_transactions) > 0.01""")
 add("dim_join_gaps",
@@ -567,7 +571,7 @@ add("dim_join_gaps",
        USING (product_id) WHERE product_name IS NULL OR low_fat = 1 GROUP BY product_id""")
 add("rate_ranges",
     lambda lake: checks.out_of_range(
-        gold.agg_return_kpi(lake.fact_sales, lake.fact_returns), "return_rate", 0, 0.05),
+        gold.agg_return_kpi(lake.sales, lake.returned), "return_rate", 0, 0.05),
     "SELECT * FROM a_returns WHERE return_rate < 0 OR return_rate > 0.05")
 
 
