@@ -6,8 +6,8 @@ gives one row per version with ``__START_AT`` and ``__END_AT`` (NULL while open)
 * a version opens when a *tracked* attribute changes; other attributes are overwritten
   in the open version;
 * with ``ignore_nulls`` a NULL in a change means "not mentioned" and keeps the old value;
-* changes of one key at one instant are merged first, the later ``tie_break`` winning,
-  so versions never have zero length.
+* changes of one key at one instant are merged first, so versions never have zero length:
+  the later ``tie_break`` wins, or without one the larger value.
 
 Skew.  Merging is an aggregation with a map-side half.  The steps that need order run in
 windows per (key, slice): a key with more than ``hot_rows`` changes has its time line cut
@@ -70,8 +70,15 @@ def latest_state(changes: DataFrame, spec: Spec) -> DataFrame:
     One aggregation per key with a map-side half, no window.
     """
     attrs = spec.attributes(changes)
-    order = F.struct(spec.sequence_by, *spec.tie_break)
-    return changes.groupBy(*spec.keys).agg(*_last_values(attrs, order, spec.ignore_nulls))
+    order = [spec.sequence_by, *spec.tie_break]
+    if spec.tie_break:
+        last = _last_values(attrs, F.struct(*order), spec.ignore_nulls)
+    elif spec.ignore_nulls:
+        last = [F.max_by(a, F.when(F.col(a).isNotNull(), F.struct(*order, a))).alias(a)
+                for a in attrs]
+    else:
+        last = _last_values(attrs, F.struct(*order, *attrs), False)
+    return changes.groupBy(*spec.keys).agg(*last)
 
 
 # -- steps -------------------------------------------------------------------------
@@ -124,9 +131,11 @@ def _slices(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
 
 
 def _one_per_instant(sliced: DataFrame, spec: Spec, attrs: Sequence[str]) -> DataFrame:
+    instants = sliced.groupBy(_KEY, _HOT, _SLICE, spec.sequence_by)
+    if spec.ignore_nulls and not spec.tie_break:
+        return instants.agg(*(F.max(a).alias(a) for a in attrs))
     order = F.struct(*(spec.tie_break or attrs))
-    return sliced.groupBy(_KEY, _HOT, _SLICE, spec.sequence_by).agg(
-        *_last_values(attrs, order, spec.ignore_nulls))
+    return instants.agg(*_last_values(attrs, order, spec.ignore_nulls))
 
 
 def _within(spec: Spec) -> Window:

@@ -67,6 +67,19 @@ def test_latest_state_is_the_open_version(spark):
         assert rows(scd2.latest_state(df, spec)) == rows(opened)
 
 
+def test_without_tie_break_the_result_does_not_depend_on_row_order(spark):
+    made = feed(7, 150, ["k1", "k2"], 60, "h")
+    for ignore_nulls in (True, False):
+        spec = scd2.Spec(["k"], "at", ["a", "b"], ignore_nulls)
+        results = []
+        for order in (made, made[::-1], sorted(made, key=str)):
+            df = spark.createDataFrame(order, SCHEMA).drop("pos").repartition(3)
+            results.append(rows(scd2.history(df, spec, hot_rows=25)))
+            opened = scd2.current(scd2.history(df, spec)).select("k", "a", "b", "c")
+            assert rows(scd2.latest_state(df, spec)) == rows(opened)
+        assert results[0] == results[1] == results[2]
+
+
 def test_untracked_values_are_overwritten_in_place(spark):
     df = spark.createDataFrame([
         ("k", BASE, 0, "x", 1, "p"), ("k", BASE + dt.timedelta(1), 1, "x", 1, "q")], SCHEMA)
