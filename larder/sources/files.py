@@ -18,32 +18,30 @@ def text_schema(columns: Sequence[str], corrupt: bool = False) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+# A header must name the declared columns in their order: Spark binds CSV columns by
+# position and would otherwise swap values without a word.
+_STRICT = {"header": "true", "enforceSchema": "false", "columnNameOfCorruptRecord": CORRUPT}
+
+
 def csv_stream(spark: SparkSession, path: str, columns: Sequence[str],
-               max_files: int | None = None, source: str = FILES,
+               max_files: int | None = None, corrupt: bool = False, source: str = FILES,
                clock: Column | None = None) -> DataFrame:
     """New CSV files as a stream with lineage columns.
 
-    ``columns`` is the header of the files.  Spark binds CSV columns by position, so a
-    file with another header is rejected instead of having its values swapped; read such
-    folders with ``csv_evolving``.
+    A file with another header than ``columns`` stops the stream; read folders with
+    several headers by ``csv_evolving``.  ``corrupt`` adds a column with the text of lines
+    that do not fit the header.
     """
-    reader = spark.readStream.option("header", True).option("enforceSchema", False)
+    reader = spark.readStream.options(**_STRICT).schema(text_schema(columns, corrupt))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return landed_file(reader.schema(text_schema(columns)).csv(path), source, clock)
+    return landed_file(reader.csv(path), source, clock)
 
 
 def csv_batch(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
               corrupt: bool = False) -> DataFrame:
-    """The same files in one go.
-
-    ``corrupt`` adds a column with the text of lines that do not fit the header and is
-    NULL for all others.
-    """
-    reader = spark.read.option("header", True).schema(text_schema(columns, corrupt))
-    if corrupt:
-        return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    return reader.option("enforceSchema", False).csv(path)
+    """The same files in one go, without lineage."""
+    return spark.read.options(**_STRICT).schema(text_schema(columns, corrupt)).csv(path)
 
 
 def csv_inferred(spark: SparkSession, path: str) -> DataFrame:

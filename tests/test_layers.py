@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from conftest import rows
 
 from larder.operators import audit, scd2
@@ -94,3 +95,31 @@ def test_update_twice(spark, tmp_path):
     assert [r._quarantine_reason for r in bad.collect()] == ["valid_customer"]
     log = spark.table("layers_log").where("event_type = 'TABLE_SUCCESS'")
     assert log.count() == 18 and log.where("row_count_output IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("strict,kept", [(False, 2), (True, 1)])
+def test_inventory_rules_that_act_on_rows(spark, tmp_path, strict, kept):
+    lay = layers.Layout(f"{tmp_path}/lake")
+
+    def land(i, product, store):
+        body = json.dumps({"inventory_id": i, "event_timestamp": "2024-01-01 00:00:00",
+                           "product_id": product, "store_id": store, "quantity_remaining": 1})
+        spark.createDataFrame(
+            [(bytearray(body, "utf8"), "inventory", 0, 0, NOW)],
+            "value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        layers.land_topic(lay, "inventory", tables.parquet_stream(spark, f"{tmp_path}/in"))
+
+    land("a", 1, 1)
+    land("b", 1, None)
+    layers.clean(spark, lay, "inventory", strict)
+    assert spark.read.parquet(lay.table("silver", "inventory")).count() == kept
+    land("c", None, 1)
+    if strict:
+        with pytest.raises(Exception, match="valid_product"):
+            layers.clean(spark, lay, "inventory", strict)
+    else:
+        layers.clean(spark, lay, "inventory")
+        layers.split(spark, lay, "inventory")
+        good, bad = layers.read_split(spark, lay, "inventory")
+        assert (good.count(), bad.count()) == (1, 2)

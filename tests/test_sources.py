@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from larder.operators import checks
 from larder.sources import files, lineage, tables, topics
 from larder.streaming import jobs
 
@@ -66,6 +67,16 @@ def test_corrupt_lines_are_kept(spark, tmp_path):
     assert dict(files.csv_inferred(spark, f"{tmp_path}/c").dtypes) == {"id": "int", "v": "int"}
 
 
+def test_corrupt_lines_in_a_stream(spark, tmp_path):
+    put(f"{tmp_path}/in", "a.csv", "id,v\n1,2\n3,4,5\n")
+    stream = files.csv_stream(spark, f"{tmp_path}/in", ["id", "v"], corrupt=True)
+    jobs.run_append(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
+    assert rows(got.select("id", "v", files.CORRUPT)) == [
+        ("1", "2", None), ("3", "4", "3,4,5")]
+    assert checks.corrupt_rows(got, files.CORRUPT).count() == 1
+
+
 def test_lineage_keeps_rows_as_they_are(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, "x")], "a INT, b STRING")
     got = lineage.landed(df, lineage.DOCUMENTS)
