@@ -46,7 +46,8 @@ def apply_changes(batch: DataFrame, batch_id: int, spec: Spec, path: str,
     """Write the three folders of one micro-batch."""
     spark, names = batch.sparkSession, batch.columns
     _prepare(batch, spec, path)
-    bucketed = batch.withColumn(_BUCKET, _bucket(spec))
+    # Rebalanced by bucket, a bucket is one file unless it is big enough for several.
+    bucketed = batch.withColumn(_BUCKET, _bucket(spec)).hint("rebalance", _BUCKET)
     new = _store(bucketed, path, "changes", batch_id, _BUCKET)
 
     opened = _open_versions(spark, path, spec, batch_id)
