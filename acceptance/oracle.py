@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from acceptance.feeds import AS_OF, CLOCK, REGION
+from acceptance.feeds import AS_OF, CLOCK
 
 
 def _us(name: str) -> str:

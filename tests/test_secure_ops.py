@@ -116,7 +116,8 @@ def test_latency_and_minutes(orders):
 
 def test_stock_reports(spark):
     stock = spark.createDataFrame(
-        [(f"i{i}", i % 30, i % 25, q, "x", NOW) for i, q in enumerate([5] * 60 + [10, 49, 50, None])],
+        [(f"i{i}", i % 30, i % 25, q, "x", NOW)
+         for i, q in enumerate([5] * 60 + [10, 49, 50, None])],
         "inventory_id STRING, product_id INT, store_id INT, quantity_remaining INT, "
         "stock_status STRING, timestamp TIMESTAMP")
     assert rows(ops.stock_level_distribution(stock, at())) == [

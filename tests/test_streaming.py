@@ -4,7 +4,6 @@ import random
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from larder.operators import quality, scd2
 from larder.plans import silver
