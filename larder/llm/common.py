@@ -32,12 +32,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
     A local session without that setting (a test) gets a temporary folder, a cluster an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 

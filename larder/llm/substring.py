@@ -1,8 +1,8 @@
 """Substring deduplication by relative Lempel-Ziv parsing of whole documents, in words.
 
-1. *Anchors.*  Of every window of ``window`` words the smallest ``GRAM``-word hash is an anchor,
-   so equal windows have equal anchors at equal places.  For an anchor met in several documents
-   its first place (smallest id, then position) is its reference.
+1. *Anchors.*  Of every window of words the smallest hash of half as many words is an anchor,
+   so equal windows have equal anchors at equal places.  For an anchor met in several
+   documents its first place (smallest id, then position) is its reference.
 2. *Reference blocks.*  The text around references is cut into blocks of bounded length with a
    window's margin on both sides.
 3. *Parsing.*  Every document is factored against every block that shares an anchor with it:
@@ -24,14 +24,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import bitmap, maybe_in, reachable, stored
+from larder.llm.common import bitmap, lists, maybe_in, reachable, stored
 
-GRAM = 25
 BLOCK = 512
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def gram_of(window: int) -> int:
+    """Words of an anchor.  Longer ones would be rarer by chance but stand more densely."""
+    return max(1, window // 2)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []  # bytes: cut at 20 and 09 to 0D only
 
@@ -65,7 +69,7 @@ def rolling(h: np.ndarray, n: int, base: int = _BASES[0]) -> np.ndarray:
 
 def minimizers(grams: np.ndarray, window: int) -> np.ndarray:
     """For every window its anchor: the place of the leftmost smallest gram inside."""
-    inside = window - GRAM + 1
+    inside = window - gram_of(window) + 1
     if len(grams) < inside:
         return np.empty(0, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(grams, inside)
@@ -92,7 +96,7 @@ def anchors(rows: DataFrame, window: int) -> DataFrame:
             for key, doc, text in zip(batch.column("key").to_pylist(),
                                       batch.column("doc_id").to_pylist(),
                                       batch.column("text").cast(pa.large_binary()).to_pylist()):
-                grams = rolling(word_hashes(words_of(text)), GRAM)
+                grams = rolling(word_hashes(words_of(text)), gram_of(window))
                 at = np.unique(minimizers(grams, window))
                 for column, x in zip(out, (np.full(len(at), key), np.full(len(at), doc),
                                            at, _signed(grams[at]))):
@@ -115,7 +119,7 @@ def _blocks(shared: DataFrame, rows: DataFrame, window: int) -> DataFrame:
         "part", F.floor(F.col("at") / BLOCK)).groupBy("key", "block_doc", "part").agg(
         F.min("at").alias("low"), F.max("at").alias("high"))
     there = rows.filter(maybe_in(F.col("key"), bitmap(cut.select("key"))))
-    margin = window - GRAM
+    margin = window - gram_of(window)
     each = cut.groupBy("key", "block_doc").agg(F.collect_list(F.struct("part", "low", "high"))
                                                .alias("parts"))
 
@@ -174,7 +178,7 @@ def _parse(batches, window: int):
         for key, doc, text, blocks in zip(*(batch.column(c).to_pylist()
                                             for c in ("key", "doc_id", "text", "blocks"))):
             h = word_hashes(words_of(text.encode()))
-            own = minimizers(rolling(h, GRAM), window)
+            own = minimizers(rolling(h, gram_of(window)), window)
             known = np.zeros(len(own), bool)
             removed = np.zeros(len(own), bool)
             seeded = np.zeros(len(h), bool)
@@ -191,8 +195,8 @@ def _parse(batches, window: int):
                 if block["block_doc"] < doc:
                     removed |= by_diagonal
             ask = np.flatnonzero(seeded[own] & ~known) if len(own) else np.empty(0, np.int64)
-            out.append((key, doc, np.flatnonzero(removed), ask,
-                        *(rolling(h, window, b)[ask] for b in _BASES)))
+            out.append((key, doc, np.flatnonzero(removed),
+                        *_once(ask, *(rolling(h, window, b)[ask] for b in _BASES))))
         if out:
             yield pa.record_batch({
                 "key": pa.array([o[0] for o in out], pa.int64()),
@@ -211,17 +215,26 @@ def _runs(starts: list[np.ndarray], window: int) -> pa.Array:
     return pa.array(out, pa.list_(kind))
 
 
+def _once(at: np.ndarray, w1: np.ndarray, w2: np.ndarray):
+    """Each window of a document once: all its places, how many they are, and the hashes."""
+    order = np.lexsort((at, w2, w1))
+    at, w1, w2 = at[order], w1[order], w2[order]
+    new = np.flatnonzero(np.concatenate(([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))
+                         ) if len(at) else np.empty(0, np.int64)
+    return at, np.diff(np.append(new, len(at))), w1[new], w2[new]
+
+
 def _asks(out) -> pa.Array:
-    flat = [np.concatenate([o[i] for o in out]) for i in (3, 4, 5)]
+    at, sizes, w1, w2 = (np.concatenate([o[i] for o in out]) for i in (3, 4, 5, 6))
     values = pa.StructArray.from_arrays(
-        [pa.array(flat[0], pa.int32()), pa.array(_signed(flat[1].astype(np.uint64)), pa.int64()),
-         pa.array(_signed(flat[2].astype(np.uint64)), pa.int64())], ["at", "w1", "w2"])
-    offsets = np.concatenate(([0], np.cumsum([len(o[3]) for o in out]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+        [lists(at, sizes, pa.int32()), pa.array(_signed(w1.astype(np.uint64)), pa.int64()),
+         pa.array(_signed(w2.astype(np.uint64)), pa.int64())], ["at", "w1", "w2"])
+    return pa.ListArray.from_arrays(pa.array(
+        np.cumsum([0, *(len(o[4]) for o in out)]).astype(np.int32)), values)
 
 
 _PARSED = ("key long, doc_id long, spans array<struct<start: int, end: int>>, "
-           "asks array<struct<at: int, w1: long, w2: long>>")
+           "asks array<struct<at: array<int>, w1: long, w2: long>>")
 
 
 def spans(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
@@ -252,10 +265,12 @@ def spans(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
         lambda b: _parse(b, window), _PARSED), "factors")
     asks = parsed.select("key", "doc_id", F.explode("asks").alias("w")).select(
         "key", "doc_id", "w.at", "w.w1", "w.w2")
-    first = asks.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"),
-                                         F.max("doc_id").alias("most")).filter("least < most")
+    first = stored(asks.groupBy("w1", "w2").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+        .select("w1", "w2", "least"), "first-windows")
     late = asks.join(first, ["w1", "w2"]).filter("least < doc_id").select(
-        "key", F.struct(F.col("at").alias("start"), (F.col("at") + window).alias("end")).alias("s"))
+        "key", F.explode("at").alias("at")).select("key", F.struct(
+            F.col("at").alias("start"), (F.col("at") + window).alias("end")).alias("s"))
     return parsed.select("key", F.explode("spans").alias("s")).unionByName(late).groupBy("key").agg(
         F.collect_list("s").alias("spans"))
 

@@ -93,7 +93,8 @@ def spliced(reports: DataFrame) -> DataFrame:
     both = reports.withColumn("left", F.lag("tail").over(beside)).withColumn(
         "shared", F.array_max(F.array_intersect(F.transform("left", lambda p: p["at"]),
                                                 F.transform("head", lambda p: p["at"]))))
-    tokens = lambda side: F.filter(side, lambda p: p["at"] == F.col("shared"))[0]["tokens"]
+    tokens = lambda side: F.get(
+        F.filter(side, lambda p: p["at"] == F.col("shared")), F.lit(0))["tokens"]
     return both.select(
         "key", ((F.col("n") == 0) | F.col("shared").isNotNull()).alias("whole"),
         (F.when(F.col("last"), F.col("tokens")).otherwise(0)
