@@ -58,7 +58,7 @@ class Codec:
     def fit(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= 1_000_000:
+            if len(self.fits) >= 200_000:
                 self.fits.clear()
             known = merged(self.ranks, self.bytes[a] + self.bytes[b]) == [a, b]
             self.fits[a, b] = known
@@ -138,10 +138,10 @@ def decode(ids, ranks: str, pattern: str):
     @F.arrow_udf("binary")
     def made(column: pa.Array) -> pa.Array:
         table = memo((ranks, pattern), Pieces).codec.bytes
-        flat = column.flatten().to_pylist()
+        flat = column.flatten().to_numpy(zero_copy_only=False)
         ends = np.concatenate(([0], np.cumsum(np.nan_to_num(
             column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))))
-        return pa.array([b"".join(map(table.__getitem__, flat[a:b]))
+        return pa.array([b"".join(map(table.__getitem__, flat[a:b].tolist()))
                          for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
     return made(ids)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,15 +13,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def reachable(spark: SparkSession) -> None:
-    """Lets Python workers that share this machine's files import the package.
+    """Lets Python workers that share this machine's files import the package, and bounds
+    what they hold at once.
 
     On a cluster the package is installed or sent with ``--py-files``; there the extra
-    entry of the search path names nothing and changes nothing.
+    entry of the search path names nothing and changes nothing.  Arrow batches of whole
+    texts get ``BATCH_ROWS`` rows and ``BATCH_BYTES`` at most, unless the session has less.
     """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        digits, unit = re.fullmatch(r"(\d+)(\w*)", spark.conf.get(key)).groups()
+        if int(digits) << {"k": 10, "m": 20, "g": 30}.get(unit[:1].lower(), 0) > most:
+            spark.conf.set(key, str(most))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:

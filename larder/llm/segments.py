@@ -50,7 +50,7 @@ class Memo(dict):
     what is used again moves to the young one.
     """
 
-    def __init__(self, path: str, room: int = 1_000_000):
+    def __init__(self, path: str, room: int = 400_000):
         super().__init__()
         self.half, self.old = room // 2, {}
         self.load(path)

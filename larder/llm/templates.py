@@ -67,7 +67,7 @@ _known: dict[str, int] = {}
 
 
 def _hashes(tokens: list[str]) -> np.ndarray:
-    if len(_known) > 500_000:
+    if len(_known) > 200_000:
         _known.clear()
     h, get = xxhash.xxh3_64_intdigest, _known.get
     out = []
