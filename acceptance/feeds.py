@@ -7,6 +7,7 @@ covers its whole tables.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,8 +18,9 @@ from larder.session import work_dir
 from larder.sources import lineage, topics
 
 CLOCK = "2024-02-01 00:00:00"       # stands in for the current time
-AS_OF = "2024-01-31 00:00:00"       # operations queries look back from here ...
-LOOKBACK = "31 days"                # ... over all of the events
+AS_OF = "2024-01-23 00:00:00"       # operations queries look back from here ...
+LOOKBACK_DAYS = 15                  # ... so that events on both ends are left out
+LOOKBACK = f"{LOOKBACK_DAYS} days"
 REGION = "Asia"                     # the region with its own managers
 
 # The tables' schemas, stated so that opening one needs no job.
@@ -66,15 +68,6 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """The table, dealt out to all cores when it sits in fewer files than those.
-
-        Packing and parsing payloads is the costly part of these feeds and one small file
-        would make it a single task.  Tables of many files are read as they are.
-        """
-        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
     # -- feeds ---------------------------------------------------------------------
 
     @cached_property
@@ -155,13 +148,14 @@ class Lake:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._documents(self.spread("part").selectExpr(
+        return self._documents(self.table("part").selectExpr(
             "*", "explode(sequence(1, 1 + CAST(p_partkey % 3 AS INT))) AS rev").selectExpr(
             "rev", "CAST(p_partkey AS STRING) AS _id",
             "CASE WHEN rev = 1 OR (p_partkey + rev) % 5 <> 0 THEN p_brand END AS product_brand",
             "concat('  ', p_name, ' ') AS product_name",
             "p_partkey * 7 + rev AS product_sku",
-            "p_retailprice + IF((p_partkey + rev) % 4 = 0, 10.0, 0.0) AS product_retail_price",
+            """round(p_retailprice + IF((p_partkey + rev) % 4 = 0, 10.0, 0.0)
+                + p_partkey % 8 * 0.000123, 6) AS product_retail_price""",
             "p_retailprice - 250.0 AS product_cost",
             "CAST(p_size AS DOUBLE) AS product_weight",
             "p_size % 2 AS recyclable", "CAST(p_partkey % 2 AS INT) AS low_fat"))
@@ -171,7 +165,7 @@ class Lake:
         nations, regions = self.table("nation"), self.table("region")
         places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
             "n_nationkey", "n_name", "r_name")
-        revised = self.spread("customer").selectExpr(
+        revised = self.table("customer").selectExpr(
             "*", "explode(sequence(1, 1 + CAST(c_custkey % 4 AS INT))) AS rev")
         joined = revised.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         return self._documents(joined.selectExpr(
@@ -194,7 +188,7 @@ class Lake:
     @cached_property
     def order_records(self) -> DataFrame:
         """Topic records; some arrive twice, some again a minute later, some are broken."""
-        payload = self.spread("events").selectExpr(
+        payload = self.table("events").selectExpr(
             "event_id", "ts",
             """to_json(struct(
                 CASE WHEN event_id % 83 <> 0 THEN concat('ORD-', event_id) END AS order_id,
@@ -216,7 +210,7 @@ class Lake:
 
     @cached_property
     def inventory_records(self) -> DataFrame:
-        payload = self.spread("events").selectExpr(
+        payload = self.table("events").selectExpr(
             "event_id", "ts", "CAST(get_json_object(props, '$.k') AS INT) AS k",
             "CAST(floor(value) AS INT) - 5 AS remaining",
             "explode(IF(event_id % 45 = 0, array(0, 1), array(0))) AS late")
@@ -332,6 +326,19 @@ class Lake:
             "changes": scd2.Spec(["user_id"], "ts", ["event_type"]),
         }
 
+    @cache
+    def same_batch(self, table: str) -> DataFrame:
+        """The change feed with every two revisions landed at one time; ``rev`` is their place."""
+        at = F.timestamp_add("DAY", F.expr("(rev + 1) div 2"), moment("2024-01-01 00:00:00"))
+        rows = getattr(self, table).withColumn("ingestion_timestamp", at)
+        kept = ["ingestion_timestamp", "rev"]
+        return {"products": lambda: silver.conform_products(rows, kept),
+                "customers": lambda: silver.conform_customers(rows, kept),
+                "stores": lambda: silver.conform_csv(rows, "stores")}[table]()
+
+    def placed_spec(self, table: str) -> scd2.Spec:
+        return replace(self.spec[table], tie_break=("rev",))
+
     def feed(self, table: str) -> DataFrame:
         return {"products": self.product_changes, "customers": self.customer_changes,
                 "stores": self.store_changes, "changes": self.changes}[table]

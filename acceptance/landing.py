@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from acceptance.feeds import Lake, plain
-from larder.operators import quality
+from larder.operators import audit, quality, scd2
 from larder.session import work_dir
 from larder.sources import files, lineage, tables, topics
 from larder.streaming import jobs, scd2_apply
@@ -152,21 +152,18 @@ def late_orders(lake: Lake) -> DataFrame:
 def streamed_split(lake: Lake) -> DataFrame:
     base = work_dir(lake.spark, "split")
     stream = bronze_table(lake, lake.silver_orders, "orders-silver", 2)
-    jobs.run_split(stream, quality.ORDER_RULES, f"{base}/out", f"{base}/checkpoint")
+    jobs.run_split(stream, quality.ORDER_RULES, f"{base}/out", f"{base}/checkpoint", lake.clock)
     good, bad = jobs.read_split(lake.spark, f"{base}/out")
-    columns = ["order_id", "timestamp", "quantity"]
-    return plain(
-        good.select(*columns, F.lit(True).alias("is_valid"),
-                    F.lit(None).cast("string").alias("reason"))
-        .unionByName(bad.select(*columns, F.lit(False).alias("is_valid"),
-                                F.col(quality.REASON).alias("reason"))))
+    return plain(good.withColumn("is_valid", F.lit(True)).unionByName(
+        bad.withColumn("is_valid", F.lit(False)), allowMissingColumns=True))
 
 
-def streamed_history(lake: Lake) -> DataFrame:
+def streamed_history(lake: Lake, rows: DataFrame, spec: scd2.Spec) -> DataFrame:
     """Changes in shuffled micro-batches give the same history as one batch."""
-    base, spec = work_dir(lake.spark, "history"), lake.spec["changes"]
+    base = work_dir(lake.spark, "history")
     folder = f"{base}/in"
-    lake.changes.repartition(3, F.xxhash64("ts")).write.parquet(folder)
+    dealt = [c for c in (spec.sequence_by, *spec.tie_break) if c in rows.columns]
+    rows.repartition(3, F.xxhash64(*dealt)).write.parquet(folder)
     stream = tables.parquet_stream(lake.spark, folder, 1)
     scd2_apply.run_history(stream, spec, f"{base}/out", f"{base}/checkpoint")
     return plain(scd2_apply.read_history(lake.spark, f"{base}/out", spec))
@@ -176,5 +173,5 @@ def logged(lake: Lake, *batches: DataFrame) -> DataFrame:
     """Appends the log rows one batch after the other and reads the table back."""
     folder = f"{work_dir(lake.spark, 'log')}/log"
     for rows in batches:
-        rows.write.mode("append").parquet(folder)
+        audit.append(rows, path=folder)
     return lake.spark.read.parquet(folder)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from acceptance.feeds import AS_OF, CLOCK
+from acceptance.feeds import AS_OF, CLOCK, LOOKBACK_DAYS
 
 
 def _us(name: str) -> str:
@@ -30,7 +30,7 @@ def _n(value: str) -> str:
 
 
 def _money(value: str) -> str:
-    return f"CAST({value} AS DECIMAL(20, 4))"
+    return f"CAST({value} AS DECIMAL(20, 6))"
 
 
 def _total(value: str) -> str:
@@ -73,6 +73,23 @@ def _latest(source: str, key: str, seq: str, attrs: list[str], ignore_nulls: boo
     return f"SELECT {key}, {last} FROM {source} GROUP BY {key}"
 
 
+def _same_batch(table: str, key: str, attrs: list[str], tracked: list[str],
+                ignore_nulls: bool) -> dict[str, str]:
+    """History of a feed in which two revisions share a landing time: the later one's values,
+    or the earlier one's where it has none."""
+    last = ", ".join(
+        f"arg_max({a}, rev) FILTER (WHERE {a} IS NOT NULL) AS {a}" if ignore_nulls
+        else f"arg_max_null({a}, rev) AS {a}" for a in attrs)
+    return {
+        f"b_{table}": f"""SELECT {key}, landed AS {_SEQ}, {last} FROM (
+            SELECT * EXCLUDE ({_SEQ}), day({_SEQ}) - 1 AS rev,
+                TIMESTAMP '2024-01-01' + (day({_SEQ}) // 2) * INTERVAL 1 DAY AS landed
+            FROM c_{table}) GROUP BY {key}, landed""",
+        f"k_{table}": _history(f"b_{table}", key, _SEQ, attrs, tracked, ignore_nulls),
+    }
+
+
+_SEQ = "ingestion_timestamp"
 _PRODUCT = ["product_brand", "product_name", "product_sku", "product_retail_price",
             "product_cost", "product_weight", "recyclable", "low_fat"]
 _PRODUCT_TRACKED = ["product_name", "product_brand", "product_retail_price", "product_cost",
@@ -87,7 +104,6 @@ _CUSTOMER_TRACKED = ["customer_name", "customer_city", "customer_state_province"
                      "education", "occupation", "homeowner"]
 _STORE = ["region_id", "store_name", "store_city", "store_state", "first_opened_date",
           "last_remodel_date"]
-_SEQ = "ingestion_timestamp"
 
 
 def _verdict(rules: dict[str, str]) -> str:
@@ -171,8 +187,8 @@ CTES: dict[str, str] = {
     "c_products": f"""SELECT CAST(p_partkey AS VARCHAR) AS product_id,
         CASE WHEN rev = 1 OR (p_partkey + rev) % 5 <> 0 THEN p_brand END AS product_brand,
         p_name AS product_name, p_partkey * 7 + rev AS product_sku,
-        p_retailprice + CASE WHEN (p_partkey + rev) % 4 = 0 THEN 10.0::DOUBLE ELSE 0 END
-            AS product_retail_price,
+        round(p_retailprice + CASE WHEN (p_partkey + rev) % 4 = 0 THEN 10.0::DOUBLE ELSE 0 END
+            + p_partkey % 8 * 0.000123::DOUBLE, 6) AS product_retail_price,
         p_retailprice - 250.0::DOUBLE AS product_cost,
         CAST(p_size AS DOUBLE) AS product_weight, CAST(p_size % 2 AS INT) AS recyclable,
         CAST(p_partkey % 2 AS INT) AS low_fat,
@@ -254,14 +270,14 @@ CTES: dict[str, str] = {
     "s_calendar": f"""SELECT {_date('date')} AS date, {_STAMPS}, 'calendar' AS source_table,
         'cleaned' AS record_status FROM f_calendar""",
     "s_orders": f"""SELECT * EXCLUDE (event_id), "timestamp" AS event_timestamp, {_STAMPS}
-        FROM ({_first('f_orders', 'order_id, "timestamp"', 'event_id')})""",
+        FROM ({_first('f_orders', 'order_id, "timestamp"', 'event_id % 4, event_id')})""",
     "s_inventory": f"""SELECT * EXCLUDE (event_id), "timestamp" AS processing_time,
         CASE WHEN quantity_remaining = 0 THEN 'OUT_OF_STOCK'
              WHEN quantity_remaining < 20 THEN 'LOW_STOCK'
              WHEN quantity_remaining < 50 THEN 'MEDIUM' ELSE 'HEALTHY' END AS stock_status,
         coalesce(quantity_added > 0, false) AS is_restock, 'kafka' AS ingestion_source,
         'cleaned' AS record_status, {_STAMPS}
-        FROM ({_first('f_inventory', 'inventory_id', '"timestamp"')})""",
+        FROM ({_first('f_inventory', 'inventory_id', '"timestamp", event_id % 4, event_id')})""",
     "s_customers": f"""SELECT *, 'fivetran' AS _source_system, {_STAMPS}
         FROM ({_first('c_customers', 'customer_id', _SEQ)})""",
     "s_products": f"""SELECT *, 'fivetran' AS _source_system, {_STAMPS}
@@ -276,6 +292,11 @@ CTES: dict[str, str] = {
                          ignore_nulls=False),
     "h_changes": _history("c_changes", "user_id", "ts", ["event_type", "value"],
                           ["event_type"]),
+    **{name: sql for table, key, attrs, tracked, nulls in (
+        ("products", "product_id", _PRODUCT, _PRODUCT_TRACKED, True),
+        ("customers", "customer_id", _CUSTOMER, _CUSTOMER_TRACKED, True),
+        ("stores", "store_id", _STORE, ["store_name", "region_id"], False))
+       for name, sql in _same_batch(table, key, attrs, tracked, nulls).items()},
     "l_products": _latest("c_products", "product_id", _SEQ, _PRODUCT),
     "l_customers": _latest("c_customers", "customer_id", _SEQ, _CUSTOMER),
     "l_stores": _latest("c_stores", "store_id", _SEQ, _STORE, ignore_nulls=False),
@@ -332,9 +353,9 @@ CTES: dict[str, str] = {
                    FROM g_returns GROUP BY product_id) USING (product_id)""",
     # operations windows
     "o_orders": f"""SELECT * FROM s_orders
-        WHERE "timestamp" >= {_NOW} - INTERVAL 31 DAY AND "timestamp" <= {_NOW}""",
+        WHERE "timestamp" >= {_NOW} - INTERVAL {LOOKBACK_DAYS} DAY AND "timestamp" <= {_NOW}""",
     "o_inventory": f"""SELECT * FROM s_inventory
-        WHERE "timestamp" >= {_NOW} - INTERVAL 31 DAY AND "timestamp" <= {_NOW}""",
+        WHERE "timestamp" >= {_NOW} - INTERVAL {LOOKBACK_DAYS} DAY AND "timestamp" <= {_NOW}""",
 }
 
 

@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.functions.money import to_ticks
 from larder.operators.scd2 import END, START
 
 TOLERANCE = 0.01
@@ -175,7 +174,7 @@ def sums_agree(lower: DataFrame, upper: DataFrame, measure: Column,
 # -- measures ----------------------------------------------------------------------
 
 def _differs(left: Column, right: Column) -> Column:
-    return F.abs(to_ticks(left) - to_ticks(right)) > F.lit(int(TOLERANCE * 10000))
+    return F.abs(left - right) > F.lit(TOLERANCE)
 
 
 def wrong_sales_measures(sales: DataFrame, products: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ gives one row per version with ``__START_AT`` and ``__END_AT`` (NULL while open)
   in the open version;
 * with ``ignore_nulls`` a NULL in a change means "not mentioned" and keeps the old value;
 * changes of one key at one instant are merged first, so versions never have zero length:
-  the later ``tie_break`` wins, or without one the larger value.
+  in the order of ``tie_break`` (the position in the source), or without one a single whole
+  row of them is kept, the largest.
 
 Skew.  Merging is an aggregation with a map-side half.  The steps that need order run in
 windows per (key, slice): a key with more than ``hot_rows`` changes has its time line cut
@@ -67,18 +68,19 @@ def current(versions: DataFrame) -> DataFrame:
 def latest_state(changes: DataFrame, spec: Spec) -> DataFrame:
     """The attributes ``current(history(...))`` has, without building the history.
 
-    One aggregation per key with a map-side half, no window.
+    One aggregation per key with a map-side half, no window; without ``tie_break`` one more
+    before it that settles the changes of one instant.
     """
     attrs = spec.attributes(changes)
-    order = [spec.sequence_by, *spec.tie_break]
     if spec.tie_break:
-        last = _last_values(attrs, F.struct(*order), spec.ignore_nulls)
-    elif spec.ignore_nulls:
-        last = [F.max_by(a, F.when(F.col(a).isNotNull(), F.struct(*order, a))).alias(a)
-                for a in attrs]
-    else:
-        last = _last_values(attrs, F.struct(*order, *attrs), False)
-    return changes.groupBy(*spec.keys).agg(*last)
+        order = F.struct(spec.sequence_by, *spec.tie_break)
+        return changes.groupBy(*spec.keys).agg(*_last_values(attrs, order, spec.ignore_nulls))
+    order = F.struct(spec.sequence_by, *attrs)
+    if spec.ignore_nulls:
+        changes = changes.groupBy(*spec.keys, spec.sequence_by).agg(
+            *_last_values(attrs, F.struct(*attrs), False))
+        order = F.col(spec.sequence_by)
+    return changes.groupBy(*spec.keys).agg(*_last_values(attrs, order, spec.ignore_nulls))
 
 
 # -- steps -------------------------------------------------------------------------
@@ -108,8 +110,7 @@ def _slices(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
     """Adds the slice number and whether the key is hot.
 
     Counts and extremes are exact, so every evaluation cuts at the same points.  There
-    are at most (all rows / hot_rows) hot keys, which bounds the broadcast: 10**12
-    changes have no more than 200,000 of them at the default limit.
+    are at most (all rows / hot_rows) hot keys; adaptive execution sees how many.
     """
     position = _ordinal(changes, spec.sequence_by)
     if position is None:
@@ -124,7 +125,7 @@ def _slices(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
             1 + (__hi - __lo) div (1 + __n div {max(1, hot_rows // 4)})""").alias("__width"))
     )
     placed = F.floor((position - F.col("__lo")) / F.col("__width"))
-    return changes.join(F.broadcast(hot), _KEY, "left").withColumns({
+    return changes.join(hot, _KEY, "left").withColumns({
         _SLICE: F.coalesce(placed, F.lit(0)).cast("bigint"),
         _HOT: F.col("__width").isNotNull(),
     }).drop("__lo", "__width")
@@ -132,10 +133,9 @@ def _slices(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
 
 def _one_per_instant(sliced: DataFrame, spec: Spec, attrs: Sequence[str]) -> DataFrame:
     instants = sliced.groupBy(_KEY, _HOT, _SLICE, spec.sequence_by)
-    if spec.ignore_nulls and not spec.tie_break:
-        return instants.agg(*(F.max(a).alias(a) for a in attrs))
-    order = F.struct(*(spec.tie_break or attrs))
-    return instants.agg(*_last_values(attrs, order, spec.ignore_nulls))
+    if not spec.tie_break:
+        return instants.agg(*_last_values(attrs, F.struct(*attrs), False))
+    return instants.agg(*_last_values(attrs, F.struct(*spec.tie_break), spec.ignore_nulls))
 
 
 def _within(spec: Spec) -> Window:

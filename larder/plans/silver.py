@@ -144,27 +144,32 @@ def silver_csv(bronze: DataFrame, table: str, order_by: Sequence[str | Column] =
 
 # -- topics ------------------------------------------------------------------------
 
-def _parse_payload(bronze: DataFrame, schema: str) -> DataFrame:
+#: A record's place in its topic: the total order of its partition.
+POSITION = ("_partition", "_offset")
+
+
+def _parse_payload(bronze: DataFrame, schema: str, position: bool) -> DataFrame:
     """Payload fields and broker time; an unreadable payload gives NULL fields.
 
     The parsed struct is unpacked by a generator on purpose: a filter on a field stays
     above it.  Below a plain projection it would parse every payload a second time.
     """
     parsed = F.array(F.from_json("raw_payload", schema))
-    return bronze.select(F.inline(parsed), "timestamp")
+    place = [F.col(c[1:]).alias(c) for c in POSITION if position and c[1:] in bronze.columns]
+    return bronze.select(F.inline(parsed), "timestamp", *place)
 
 
-def flatten_orders(bronze: DataFrame) -> DataFrame:
+def flatten_orders(bronze: DataFrame, position: bool = False) -> DataFrame:
     """Payload fields as columns next to the broker time."""
-    return _parse_payload(bronze, ORDER_PAYLOAD).withColumns({
+    return _parse_payload(bronze, ORDER_PAYLOAD, position).withColumns({
         "order_date": parse_date("order_date"),
         "event_timestamp": F.col("timestamp"),
     })
 
 
-def flatten_inventory(bronze: DataFrame) -> DataFrame:
+def flatten_inventory(bronze: DataFrame, position: bool = False) -> DataFrame:
     """Payload fields as columns; here the event time comes from the payload."""
-    return _parse_payload(bronze, INVENTORY_PAYLOAD).withColumns({
+    return _parse_payload(bronze, INVENTORY_PAYLOAD, position).withColumns({
         "event_timestamp": F.try_to_timestamp(F.col("event_timestamp")),
         "processing_time": F.col("timestamp"),
     })
@@ -177,12 +182,19 @@ def enrich_inventory(flat: DataFrame, clock: Column | None = None) -> DataFrame:
 
 def silver_orders(bronze: DataFrame, order_by: Sequence[str | Column] = (),
                   clock: Column | None = None) -> DataFrame:
-    return stamp(_first(flatten_orders(bronze), "orders", order_by), clock)
+    """Of the records of one key the first under ``order_by``, then by partition and offset."""
+    return stamp(_first_record(flatten_orders(bronze, True), "orders", order_by), clock)
 
 
 def silver_inventory(bronze: DataFrame, order_by: Sequence[str | Column] = (),
                      clock: Column | None = None) -> DataFrame:
-    return enrich_inventory(_first(flatten_inventory(bronze), "inventory", order_by), clock)
+    return enrich_inventory(
+        _first_record(flatten_inventory(bronze, True), "inventory", order_by), clock)
+
+
+def _first_record(rows: DataFrame, table: str, order_by: Sequence[str | Column]) -> DataFrame:
+    place = [c for c in POSITION if c in rows.columns]
+    return _first(rows, table, [*order_by, *place]).drop(*place)
 
 
 def _first(rows: DataFrame, table: str, order_by: Sequence[str | Column]) -> DataFrame:

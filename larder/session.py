@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,12 +34,9 @@ def build(app: str = "larder", master: str | None = None, **extra: str) -> Spark
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory below the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only a local session without
-    that setting falls back to the machine's own temporary folder.
+    The folder comes from ``spark.checkpoint.dir``, which whoever makes the session sets.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="larder-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"

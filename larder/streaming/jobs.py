@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.operators.dedup import keep_first_seen
-from larder.operators.quality import REASON, VERDICT, Rules, judge
+from larder.operators.quality import REASON, SET_ASIDE_AT, VERDICT, Rules, judge
 from larder.plans import silver
 
 WATERMARK = "10 minutes"  # fixed value: how late an event may be
@@ -76,14 +76,22 @@ def documents(bronze: DataFrame, table: str, clock: Column | None = None) -> Dat
 
 # -- split -------------------------------------------------------------------------
 
-def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> StreamingQuery:
+def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str,
+              clock: Column | None = None) -> StreamingQuery:
     """Valid and quarantined rows from one pass over the stream.
 
-    Each micro-batch overwrites its own folder, partitioned by the verdict, so a batch
+    Valid rows get their stamps and status here, others the time they were set aside, so
+    that every later read sees the same.  Each micro-batch overwrites its own folder, partitioned by the verdict, so a batch
     that is repeated after a failure leaves no copies.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = judge(batch, rules)
+        judged, now = judge(batch, rules), F.current_timestamp() if clock is None else clock
+        stamps = {"pipeline_run_id": now, "processing_timestamp": now,
+                  "record_status": F.lit("valid")}
+        judged = judged.withColumns({
+            **{c: F.when(F.col(VERDICT), v).otherwise(
+                F.col(c) if c in batch.columns else F.lit(None)) for c, v in stamps.items()},
+            SET_ASIDE_AT: F.when(~F.col(VERDICT), now)})
         judged.write.mode("overwrite").partitionBy(VERDICT).parquet(f"{path}/batch={batch_id}")
 
     return run_batches(stream, write, checkpoint)
@@ -92,5 +100,5 @@ def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> St
 def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The two sides of ``run_split``; the verdict prunes partitions."""
     rows = spark.read.parquet(path).withColumn(VERDICT, F.col(VERDICT).cast("boolean"))
-    valid = rows.where(F.col(VERDICT)).drop(VERDICT, REASON, "batch")
+    valid = rows.where(F.col(VERDICT)).drop(VERDICT, REASON, SET_ASIDE_AT, "batch")
     return valid, rows.where(~F.col(VERDICT)).drop(VERDICT, "batch")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators import quality, scd2
 from larder.operators.audit import RunLog
@@ -23,11 +23,15 @@ SPLIT_RULES = {
     "orders": quality.ORDER_RULES,
     "inventory": quality.INVENTORY_RULES,
 }
+# Rows of one landing batch follow each other by their place in the landed files.
+PLACE = ("_landed_file", "_landed_row")
 HISTORIES = {
     "stores": scd2.Spec(["store_id"], "ingestion_timestamp", silver.TRACKED["stores"],
-                        ignore_nulls=False),
-    "customers": scd2.Spec(["customer_id"], "ingestion_timestamp", silver.TRACKED["customers"]),
-    "products": scd2.Spec(["product_id"], "ingestion_timestamp", silver.TRACKED["products"]),
+                        ignore_nulls=False, tie_break=PLACE),
+    "customers": scd2.Spec(["customer_id"], "ingestion_timestamp", silver.TRACKED["customers"],
+                           tie_break=PLACE),
+    "products": scd2.Spec(["product_id"], "ingestion_timestamp", silver.TRACKED["products"],
+                          tie_break=PLACE),
 }
 
 
@@ -99,9 +103,8 @@ def split(spark: SparkSession, layout: Layout, table: str) -> None:
 
 
 def read_split(spark: SparkSession, layout: Layout, table: str) -> tuple[DataFrame, DataFrame]:
-    """Valid rows with their new stamps, and quarantined rows."""
-    good, bad = jobs.read_split(spark, layout.table("silver", f"{table}_split"))
-    return silver.mark_valid(good), bad
+    """Valid rows with the stamps of their split, and quarantined rows."""
+    return jobs.read_split(spark, layout.table("silver", f"{table}_split"))
 
 
 def track(spark: SparkSession, layout: Layout, table: str) -> None:
@@ -110,12 +113,15 @@ def track(spark: SparkSession, layout: Layout, table: str) -> None:
     Changes come from the landed rows: the cleaned table holds the first row per key
     only and would never show a second version.
     """
-    bronze = _upstream(spark, layout, "bronze", table)
+    bronze = _upstream(spark, layout, "bronze", table).select(
+        "*", F.col("_metadata.file_name").alias(PLACE[0]),
+        F.col("_metadata.row_index").alias(PLACE[1]))
+    kept = ["ingestion_timestamp", *PLACE]
     changes = {
         "stores": lambda: silver.conform_csv(bronze, "stores").drop(
             "source_file_path", "source_file_name", "_source_system"),
-        "customers": lambda: silver.conform_customers(bronze, ["ingestion_timestamp"]),
-        "products": lambda: silver.conform_products(bronze, ["ingestion_timestamp"]),
+        "customers": lambda: silver.conform_customers(bronze, kept),
+        "products": lambda: silver.conform_products(bronze, kept),
     }[table]()
     scd2_apply.run_history(changes, HISTORIES[table],
                            layout.table("silver", f"scd_{table}"),

@@ -9,8 +9,9 @@ Three append-only tables below ``path``, each with one folder per micro-batch:
 
 A batch continues a key from its open version, which carries the key's whole state, so
 the cost of a batch follows the batch and not the history.  Only keys with a change at or
-before one already applied are recomputed from their change log; the key's bucket limits
-that scan.  The history therefore does not depend on arrival order.
+before one already applied are recomputed from their change log, of which only the folders
+of these keys' buckets are read.  Finding the open versions reads all of them, so a batch
+also costs what the number of keys costs.  The history therefore does not depend on arrival order.
 
 A batch reads earlier batches and overwrites its own folders only, which makes a repeated
 batch harmless.
@@ -60,7 +61,9 @@ def apply_changes(batch: DataFrame, batch_id: int, spec: Spec, path: str,
           else F.col(c) if c in seeds.columns else F.lit(None).alias(c) for c in names))
     changes = _matching(new.select(*names), in_order, spec, "left_semi").unionByName(seed_rows)
     if not late.isEmpty():
-        logged = _before(spark, path, "changes", batch_id + 1)
+        buckets = [r[0] for r in late.select(_bucket(spec)).distinct().collect()]  # <= BUCKETS
+        logged = _before(spark, path, "changes", batch_id + 1).where(
+            F.col(_BUCKET).isin(buckets))
         replay = _matching(logged, late.withColumn(_BUCKET, _bucket(spec)), spec,
                            "left_semi", _BUCKET)
         changes = changes.unionByName(replay.select(*names))
