@@ -16,7 +16,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query(spark, con, name):
     answer, sql = entry.queries()[name], entry.oracle_sql().get(name)
     result = compare(spark, con, FOLDER, name, answer, sql)
