@@ -1,11 +1,9 @@
-import os
+"""Texts that the tests of this folder share, and fixtures made of them."""
+
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 #: Columns whose names the operators use inside.
 CLASH = ("key string, at int, h string, fp string, node int, spans string, ids string, range int, "
          "block int, lang_pred string, score string, size string, windows int, n int")

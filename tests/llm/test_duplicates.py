@@ -3,6 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from samples import docs, empty, prose, rows  # noqa: F401
 from larder.llm import simhash, substring
 from larder.llm.common import components
 
@@ -85,8 +86,6 @@ def test_repeats_among_near_copies(spark):
 
 
 def test_repeats_of_one_id_null_ids_and_nothing(spark, empty):
-    from conftest import prose
-
     assert substring.deduplicated(empty).count() == 0
     p = prose(77, 80)
     docs = spark.createDataFrame([(4, p), (4, p), (None, p), (3, "x " + p), (9, None)],

@@ -4,6 +4,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from samples import docs, empty, rows, texts  # noqa: F401
 from larder.llm import chat, hash_forest, hyper_language, shards, templates
 
 
@@ -87,7 +88,7 @@ def test_templates_type_their_slots():
 
 
 def test_decontamination_keeps_columns_and_clean_rows(spark, docs, empty):
-    bench = spark.createDataFrame([(0, dict(_texts())[1]), (None, "x y"), (2, None)],
+    bench = spark.createDataFrame([(0, dict(texts())[1]), (None, "x y"), (2, None)],
                                   "item_id long, text string")
     kept = templates.decontaminated(docs, bench)
     assert kept.columns == docs.columns
@@ -97,12 +98,6 @@ def test_decontamination_keeps_columns_and_clean_rows(spark, docs, empty):
     assert templates.decontaminated(docs, bench.filter("item_id > 5")).count() == docs.count()
 
 
-def _texts():
-    from conftest import texts
-
-    return texts()
-
-
 CHAT = [(1, 0, "system", "be kind"), (1, 1, "user", "### User: </turn> \\ \\\\###"), (1, 2, "assistant", "a </turn>\n"),
         (2, 0, "assistant", "first"), (3, 0, "user", None), (3, 1, "assistant", ""), (4, 1, "user", "x"),
         (4, 0, "user", "y"), (5, 0, None, "no role"), (6, 0, "user", "é" * 50_000), (6, 1, "assistant", "$1 \\1"),

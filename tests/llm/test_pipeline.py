@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from samples import docs, rows, texts  # noqa: F401
 from larder.llm.common import stored
 from larder.llm.queries import ORACLE, QUERIES
 
@@ -24,8 +25,6 @@ def test_chat_query_equals_its_sql(spark):
 
 @pytest.fixture(scope="module")
 def folder(spark, docs, tmp_path_factory):
-    from conftest import texts
-
     path = tmp_path_factory.mktemp("tables")
     known = docs.selectExpr("doc_id", "text", "if(doc_id % 2 = 0, 'a', 'b') AS lang", "'s' AS source",
                             "length(text) AS n_chars", *(c for c in docs.columns if c not in ("doc_id", "text")))

@@ -9,6 +9,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from samples import docs, empty, rows  # noqa: F401
 from larder.llm import byte_bpe, segments, token_counts, token_orc
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
