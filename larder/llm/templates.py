@@ -79,30 +79,34 @@ def _hashes(tokens: list[str]) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def _windows(batches, width: int, fixed: int, seen: np.ndarray | None):
-    """Rows (id, size, at, h, slots) of the windows with at least ``fixed`` tokens that are no
-    slots; with ``seen`` only those it may hold.  A shorter text is one window of its own."""
+def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None):
+    """Rows (id, windows, at, h, slots, width) of the windows with at least ``fixed`` tokens that
+    are no slots.  Items (no ``seen``) shorter than ``width`` are one window of their own;
+    documents give, for each width that items have, the windows ``seen`` may hold."""
     kind = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.string())]))
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
             tokens, slots = canonical(text)
-            n = min(width, len(tokens)) if seen is None else width
-            if not n or len(tokens) < n:
+            if not tokens:
                 continue
-            h = rolling(_hashes(tokens), n)
+            hashes, places = _hashes(tokens), [s[0] for s in slots]
             taken = np.zeros(len(tokens) + 1, np.int64)
-            taken[[s[0] + 1 for s in slots]] = 1
-            free = n - (np.cumsum(taken)[n:] - np.cumsum(taken)[:-n])
-            good = free >= min(fixed, n)
-            if seen is not None:
-                at = (h & np.uint64(len(seen) * 8 - 1)).astype(np.int64)
-                good &= (seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            places = [s[0] for s in slots]
-            for at in np.flatnonzero(good).tolist():
-                low, high = np.searchsorted(places, [at, at + n]) if places else (0, 0)
-                rows.append((key, len(tokens) - n + 1, at, int(h[at:at + 1].view(np.int64)[0]),
-                             [{"at": p - at, "value": v} for p, v in slots[low:high]], n))
+            taken[[p + 1 for p in places]] = 1
+            taken = np.cumsum(taken)
+            for n in [min(width, len(tokens))] if seen is None else seen:
+                if len(tokens) < n:
+                    continue
+                h = rolling(hashes, n)
+                good = n - (taken[n:] - taken[:-n]) >= min(fixed, n)
+                if seen is not None:
+                    at = (h & np.uint64(len(seen[n]) * 8 - 1)).astype(np.int64)
+                    good &= (seen[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                found = np.flatnonzero(good).tolist()
+                for at in found:
+                    low, high = np.searchsorted(places, [at, at + n]) if places else (0, 0)
+                    rows.append((key, len(found), at, int(h[at:at + 1].view(np.int64)[0]),
+                                 [{"at": p - at, "value": v} for p, v in slots[low:high]], n))
         names = ("id", "windows", "at", "h", "slots", "width")
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), kind, pa.int32())
         for start in range(0, len(rows), 20_000):
@@ -128,8 +132,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
             coverage: float = 0.5) -> DataFrame:
     """``doc_id, item_id, windows, coverage, changed`` for documents that ask an item again.
 
-    ``windows`` counts the item's distinct windows of ``width`` template tokens found in the
-    document with agreeing slots, ``coverage`` is their share of all, at least ``coverage``;
+    ``windows`` counts the item's distinct windows of ``width`` template tokens, ``fixed`` of
+    them no slots, found in the document with agreeing slots, ``coverage`` is their share of all
+    such windows, at least ``coverage``; an item of slots alone is not looked for;
     ``changed`` counts the slots whose value differs.  Items shorter than ``width`` tokens are
     one window and are looked for at their own width.  Null texts match nothing; rows of one id
     count as one document; the benchmark's equal texts count as one item each.
@@ -140,20 +145,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     items = stored(asks.mapInArrow(lambda b: _windows(b, width, fixed, None), _ROWS), "items")
     rows = docs.filter(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    widths = [r["width"] for r in items.select("width").distinct().collect()]
-    found = None
-    for n in sorted(widths):  # at most ``width`` of them
-        own = items.filter(F.col("width") == n)
-        seen = _bits(own)
-        part = rows.mapInArrow(lambda b, n=n, seen=seen: _windows(b, n, min(fixed, n), seen), _ROWS)
-        part = part.select("id", "at", "h", "slots", F.lit(n).alias("width")).join(
-            own.select(F.col("id").alias("item"), "windows", F.col("at").alias("item_at"), "h",
-                       F.col("slots").alias("item_slots"), "width"), ["h", "width"])
-        found = part if found is None else found.unionByName(part)
-    kind = "doc_id long, item_id long, windows long, coverage double, changed long"
-    if found is None:
-        return docs.sparkSession.createDataFrame([], kind)
-    found = stored(found, "template-hits")
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # <= width
+    seen = {n: _bits(items.filter(F.col("width") == n)) for n in widths}
+    own = items.select(F.col("id").alias("item"), "windows", F.col("at").alias("item_at"), "h",
+                       F.col("slots").alias("item_slots"), "width")
+    found = stored(rows.mapInArrow(lambda b: _windows(b, width, fixed, seen), _ROWS).drop("windows")
+                   .join(own, ["h", "width"]), "template-hits")
     pair = F.explode(F.arrays_zip(F.col("item_slots.value").alias("a"),
                                   F.col("slots.value").alias("b"))).alias("s")
     # an item's value by what it most often stands for in the document; other uses disagree
