@@ -54,14 +54,51 @@ class Codec:
         self.shorter = {i: next((made[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in made),
                                 None) for s, i in made.items()}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
+
+    def edge(self, token: int, last: bool) -> list[tuple[bytes, int, float]]:
+        """How the first (or last) part of a token grows while its bytes are merged: the part,
+        and the levels at which it comes and goes.  A level is the highest rank merged so far:
+        whatever can be merged at a lower rank is merged before the level rises."""
+        if (known := self.edges[last].get(token)) is not None:
+            return known
+        data = self.bytes[token]
+        parts, level, out = [data[i:i + 1] for i in range(len(data))], -1, []
+        since, now = -1, parts[-1 if last else 0]
+        while len(parts) > 1:
+            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i)
+                           for i in range(len(parts) - 1))
+            level = max(level, rank)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            if parts[-1 if last else 0] != now:
+                out.append((now, since, level))
+                since, now = level, parts[-1 if last else 0]
+        self.edges[last][token] = out = [*out, (now, since, float("inf"))]
+        return out
+
+    def apart(self, a: int, b: int) -> bool:
+        """Whether merging never crosses from a to b.  Only the parts next to the seam matter;
+        where two merges fall on one level, the plain merging decides."""
+        i = j = 0
+        left, right = self.edge(a, True), self.edge(b, False)
+        while True:
+            (x, x_from, x_to), (y, y_from, y_to) = left[i], right[j]
+            rank, ends = self.ranks.get(x + y), min(x_to, y_to)
+            crosses = float("inf") if rank is None else max(rank, x_from, y_from)
+            if crosses < ends:
+                return False
+            if x_to == y_to == crosses == float("inf"):
+                return True
+            if crosses == ends or x_to == y_to:
+                return merged(self.ranks, self.bytes[a] + self.bytes[b]) == [a, b]
+            i, j = (i + 1, j) if x_to < y_to else (i, j + 1)
 
     def fit(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
             if len(self.fits) >= 200_000:
                 self.fits.clear()
-            known = merged(self.ranks, self.bytes[a] + self.bytes[b]) == [a, b]
-            self.fits[a, b] = known
+            known = self.fits[a, b] = self.apart(a, b)
         return known
 
     def piece(self, data: bytes) -> list[int]:

@@ -1,4 +1,5 @@
 import glob
+import random
 
 import brute
 import numpy as np
@@ -89,6 +90,19 @@ def test_byte_bpe_time_is_linear_in_a_piece():
     assert len(known.ids("ab" * 200_000)) > 0
 
 
+def test_neighbours_fit_as_plain_merging_says(rows):
+    known = segments.memo((RANKS, public_tokenizers.PATTERN), byte_bpe.Pieces).codec
+    near = [i for i in known.shorter if len(known.bytes[i]) < 7]
+    pick = random.Random(4)
+    pairs = [(pick.choice(near), pick.choice(near)) for _ in range(30_000)]
+    words = [w.encode() for _, t in rows for w in (t or "")[:20_000].split()]
+    pairs += [(x, y) for w in words for n in range(1, len(w)) if (x := known.ranks.get(w[:n]))
+              in known.shorter and (y := known.ranks.get(w[n:])) in known.shorter]
+    wrong = [(x, y) for x, y in pairs if known.apart(x, y) != (
+        byte_bpe.merged(known.ranks, known.bytes[x] + known.bytes[y]) == [x, y])]
+    assert not wrong and len({known.apart(*p) for p in pairs}) == 2
+
+
 def test_backtracking_is_used():
     known = segments.memo((RANKS, public_tokenizers.PATTERN), byte_bpe.Pieces).codec
     for word in ("anthropologistically", "untheinganoi", "hhhhhtttttp", "ionsionionsio"):
