@@ -96,7 +96,7 @@ class Codec:
     def fit(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= 200_000:
+            if len(self.fits) >= 400_000:
                 self.fits.clear()
             known = self.fits[a, b] = self.apart(a, b)
         return known
