@@ -275,8 +275,9 @@ def spans(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
         F.collect_list("s").alias("spans"))
 
 
-def _kept(batches, column: str):
-    """Batches with the kept words in ``column`` and how many words there were and went."""
+def _kept(batches, column: str, untouched: bool = False):
+    """Batches with the kept words in ``column`` and how many words there were and went; with
+    ``untouched`` a text that loses no word stays as it is."""
     for batch in batches:
         texts, counts, gone = [], [], []
         for text, found in zip(batch.column(column).cast(pa.large_binary()).to_pylist(),
@@ -287,6 +288,9 @@ def _kept(batches, column: str):
                 keep[s["start"]:s["end"]] = False
             counts.append(len(words))
             gone.append(int(len(words) - keep.sum()))
+            if untouched and not gone[-1]:
+                texts.append(None if text is None else text.decode())
+                continue
             if gone[-1]:
                 words = [words[i] for i in np.flatnonzero(keep)]
             texts.append(b" ".join(words).decode())
@@ -330,6 +334,6 @@ def cut(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
     order = [f for f in touched.schema.fields if f.name not in (text, "_spans")]
     kind = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in order),
                       f"`{text}` string", "_words long", "_removed long"])
-    made = touched.mapInArrow(lambda b: _kept(b, text), kind)
+    made = touched.mapInArrow(lambda b: _kept(b, text, untouched=True), kind)
     left = made.filter((F.col("_removed") == 0) | (F.col("_removed") < F.col("_words")))
     return clean.select(docs.columns).unionByName(left.select(docs.columns))

@@ -85,6 +85,19 @@ def test_repeats_among_near_copies(spark):
     assert got == brute.repeats(rows, 9)
 
 
+def test_cut_leaves_clean_texts_as_they_are(spark, monkeypatch):
+    """A bitmap of eight bits lets clean rows through to the join; they must not change."""
+    from larder.llm import common
+
+    monkeypatch.setattr(substring, "bitmap", lambda keys: common.bitmap(keys, 8))
+    p = prose(77, 80)
+    clean = {i: f"  {prose(100 + i, 30)}\n\n{prose(200 + i, 30)}\t x " for i in range(30)} | {30: None, 31: " \n"}
+    rows = [*clean.items(), (50, p), (51, p + " own  words"), (52, p), (53, p + " more"), (54, "a " + p)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in substring.cut(docs).collect()}
+    assert got == clean | {50: p, 51: "own words", 53: "more", 54: "a"}
+
+
 def test_repeats_of_one_id_null_ids_and_nothing(spark, empty):
     assert substring.deduplicated(empty).count() == 0
     p = prose(77, 80)
