@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import components, lists, reachable, stored, text_bytes
 
-#: Fingerprints of a bucket that are compared each with each; a larger bucket is split again.
+#: Fingerprints of a bucket that one task compares each with each; a larger bucket is split again
+#: (one word) or compared part by part (four words).
 LARGE = 1024
 _FACTORS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -161,8 +162,10 @@ def links(fps: DataFrame, blocks: Blocks) -> DataFrame:
     """Edges ``a, b`` of nodes that connect those within the distance, directly or over others.
 
     ``fps`` has distinct fingerprints: node, fp.  They meet in the buckets of their keys.  A
-    bucket of over ``LARGE`` goes through the buckets of longer keys instead, so that no
-    bucket's work grows with the square of a group of near copies.
+    bucket of over ``LARGE`` goes through the buckets of longer keys instead where those lose
+    nothing, so that no bucket's work grows with the square of a group of near copies.  With
+    four words longer keys would lose pairs: there a large bucket is cut into numbered parts,
+    and every two parts meet in a bucket of their own, so what one task holds stays bounded.
     """
     reachable(fps.sparkSession)
     kinds = ", ".join(f"{n} {t}" for n, t in (("choice", "int"), ("bits", "long"),
@@ -170,14 +173,29 @@ def links(fps: DataFrame, blocks: Blocks) -> DataFrame:
     keyed = lambda rows, how: rows.select("node", "fp").mapInArrow(
         lambda b: _spread(b, how), kinds)
     sizes = stored(keyed(fps, blocks).groupBy("choice", "bits").agg(F.count("*").alias("n"))
-                   .filter(F.col("n") > LARGE).select("choice", "bits"), "simhash-large")
+                   .filter(F.col("n") > LARGE), "simhash-large")
 
     def forest(rows: DataFrame) -> DataFrame:
         return (rows.repartition("choice", "bits").sortWithinPartitions("choice", "bits")
                 .mapInArrow(lambda b: _forest(b, blocks.distance), "a long, b long"))
 
+    def in_parts(rows: DataFrame) -> DataFrame:
+        """Rows of large buckets once for each pair of parts; ``bits`` tells the pairs apart."""
+        half = max(LARGE // 2, 1)
+        parts = F.ceil(F.col("n") / half).cast("int")
+        own = F.pmod(F.xxhash64("node", "choice"), F.col("parts")).cast("int")
+        each = rows.withColumn("parts", parts).withColumn("own", own).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return each.select("choice", F.xxhash64("bits", F.least("own", "other"),
+                                                F.greatest("own", "other")).alias("bits"), "node", "fp")
+
     if sizes.isEmpty():
         return forest(keyed(fps, blocks))
+    if blocks.words > 1:
+        hot = keyed(fps, blocks).join(sizes, ["choice", "bits"])
+        cold = keyed(fps, blocks).join(sizes, ["choice", "bits"], "left_anti")
+        return forest(cold.select("choice", "bits", "node", "fp")).unionByName(
+            forest(in_parts(hot)))
     hot = keyed(fps, blocks).join(sizes, ["choice", "bits"], "left_semi")
     cold = keyed(fps, blocks).join(sizes, ["choice", "bits"], "left_anti")
     wide = stored(hot.select("node", "fp").dropDuplicates(["node"]), "simhash-wide")

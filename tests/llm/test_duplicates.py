@@ -52,6 +52,27 @@ def test_links_lose_none_within_the_distance(spark, monkeypatch, large, blocks):
         assert len(set(got)) >= 25
 
 
+def test_large_buckets_of_long_fingerprints_lose_no_pair(spark, monkeypatch):
+    """Pairs at 39 to 46 bits that share one block, whose bucket is large: all are linked."""
+    monkeypatch.setattr(simhash, "LARGE", 8)
+    r, blocks, fps, pairs = np.random.default_rng(9), simhash.Blocks(distance=46, words=4), [], []
+    while len(pairs) < 40:
+        a = r.integers(0, 1 << 64, 4, np.uint64)
+        a.view(np.uint16)[0] = 0x1234
+        b = a.copy()
+        for bit in r.choice(np.arange(16, 256), r.integers(39, 47), replace=False):
+            b[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        both = blocks.keys(np.array([a, b]))
+        if (both[0] == both[1]).any():
+            pairs.append((len(fps), len(fps) + 1))
+            fps += [a, b]
+    table = spark.createDataFrame([(i, [int(x) for x in f.view(np.int64)]) for i, f in enumerate(fps)],
+                                  "node long, fp array<long>")
+    found = {x["node"]: x["root"] for x in components(simhash.links(table, blocks), "t").collect()}
+    lost = [p for p in pairs if found.get(p[0], -1) != found.get(p[1], -2)]
+    assert lost == []
+
+
 def test_components_of_a_chain_a_star_and_a_loop(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299)]
     got = {r["node"]: r["root"] for r in components(
