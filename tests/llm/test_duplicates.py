@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import docs, empty, prose, rows  # noqa: F401
-from larder.llm import simhash, substring
+from larder.llm import set_join, simhash, substring
 from larder.llm.common import components
 
 
@@ -73,6 +73,46 @@ def test_large_buckets_of_long_fingerprints_lose_no_pair(spark, monkeypatch):
     assert lost == []
 
 
+def _gone(spark, texts):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    return set(range(len(texts))) - {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+
+
+def test_near_copies_are_pairs_of_the_similarity_and_no_others(spark):
+    """100 shingles of which the last 11 (12) differ have a similarity of 0.802 (0.786)."""
+    texts = []
+    for i in range(60):
+        words = [f"w{i}x{k}" for k in range(104)]
+        change = 11 if i < 30 else 12
+        texts += [" ".join(words), " ".join(words[:-change] + [f"v{i}x{k}" for k in range(change)])]
+    assert _gone(spark, texts) == {2 * i + 1 for i in range(30)}
+
+
+@pytest.mark.parametrize("a_row", [4, 0])
+def test_groups_of_near_copies_equal_all_pairs(spark, monkeypatch, a_row):
+    """Edited copies of two bases, some of copies, a common line, few words: as by brute force."""
+    monkeypatch.setattr(set_join, "PAIRS_A_ROW", a_row)
+    monkeypatch.setattr(set_join, "SAMPLE", 40)
+    r, texts = np.random.default_rng(4), [prose(60, 90), prose(61, 120), "a b", "A  b", None, " "]
+    for i in range(110):
+        words = texts[int(r.integers(0, 2)) if i % 3 else int(r.integers(6, len(texts))) if i > 3 else 0].split()
+        for at in r.integers(0, len(words), r.integers(1, 4)):
+            words[at] = f"e{i}"
+        texts.append(" ".join(words))
+    texts += [f"{prose(300 + i, 30)} the line that all of these have in common" for i in range(20)]
+    sets = [set(zip(*(w[i:] for i in range(5)))) if len(w := (t or "").lower().split()) >= 5 else {tuple(w)} - {()}
+            for t in texts]
+    root = np.arange(len(texts))
+    a, b = np.array([(i, j) for i in range(len(sets)) for j in range(i)
+                     if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]).T
+    simhash._join(root, a, b)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x["doc_id"]: x["component_id"] for x in set_join.groups(docs).collect()}
+    assert got == dict(enumerate(root.tolist())) and 10 < len(set(got.values())) < len(texts) - 10
+
+
 def test_components_of_a_chain_a_star_and_a_loop(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299)]
     got = {r["node"]: r["root"] for r in components(
