@@ -20,6 +20,8 @@ from larder.llm.common import reachable
 
 _OTHER = re.compile(r"[\W\d_]+")
 _KEPT = 30_000
+#: Distinct trigrams that tell: with fewer, clean texts of a learned language score like noise.
+ENOUGH = 40
 
 
 class Space:
@@ -52,15 +54,22 @@ class Space:
             out.append(at)
         return out
 
-    def profile(self, text: str | None) -> np.ndarray | None:
-        """The unit vector of a text's letter trigrams, words set apart by one space; nothing
-        for a text without letters."""
+    @staticmethod
+    def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """A text's distinct letter trigrams, words set apart by one space, and their counts;
+        nothing for a text without letters."""
         plain = _OTHER.sub(" ", (text or "").lower()).strip()
         if not plain:
             return None
         codes = np.frombuffer(f" {plain} ".encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-        grams, counts = np.unique(codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:],
-                                  return_counts=True)
+        return np.unique(codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:], return_counts=True)
+
+    def profile(self, text: str | None) -> np.ndarray | None:
+        """The unit vector of a text's trigrams; nothing for a text without letters."""
+        found = self.trigrams(text)
+        return None if found is None else self.bundle(*found)
+
+    def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
         total = np.zeros(self.dims, np.float32)
         for at in range(0, len(grams), _KEPT):
             rows = self._rows(grams[at:at + _KEPT].tolist())
@@ -140,3 +149,26 @@ def predict(text, model: Model):
                                            pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     return made(text)
+
+
+def learned(text, model: Model):
+    """False for texts without letters, and for those of ``ENOUGH`` distinct trigrams or more
+    whose cosine with each language is within its noise: of ``dims`` signs an unrelated text has
+    a cosine of 0 with a deviation of 1 / sqrt(dims), the greatest of k is sqrt(2 ln k) of those
+    higher, and three are allowed on top.  A model without languages tells nothing: all True."""
+    count = max(len(model.languages), 1)
+    bar = (3 + np.sqrt(2 * np.log(count))) / np.sqrt(model.dims)
+
+    @F.arrow_udf("boolean")
+    def made(texts: pa.Array) -> pa.Array:
+        known, out = space(model.dims, model.seed), []
+        for body in texts.to_pylist():
+            found = known.trigrams(body) if model.languages else None
+            if found is None or len(found[0]) < ENOUGH:
+                out.append(not model.languages or found is not None)
+            else:
+                vector = known.bundle(*found)
+                out.append(vector is not None and float((model.prototypes @ vector).max()) > bar)
+        return pa.array(out, pa.bool_())
+
+    return made(text)

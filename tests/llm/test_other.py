@@ -155,6 +155,28 @@ def test_languages_of_odd_texts(spark, docs, empty):
         "p.lang_pred <> 'und'").count() == 0
 
 
+def test_unlearned_languages_go_and_short_clean_texts_stay(spark):
+    import random
+
+    import corpus_pipeline
+    from samples import prose
+
+    def script(low, high, seed):
+        r = random.Random(seed)
+        return " ".join("".join(chr(r.randint(low, high)) for _ in range(r.randint(2, 7))) for _ in range(60))
+
+    known = [(i, prose(400 + i, 120), "a") for i in range(30)]
+    short = [(100 + i, t, None) for i, t in enumerate(["Ok.", "Wxq.", "Zyz vuw.", "Qs tv", "Xyz wvu qst."])]
+    foreign = [(200 + i, script(low, high, i), None) for i in range(20)
+               for low, high in [((0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA))[i % 3]]]
+    docs = spark.createDataFrame([*known, *short, *foreign, (300, "12 - 3", None)],
+                                 "doc_id long, text string, lang string")
+    left = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert left == {d for d, _, _ in known + short}
+    nothing = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, nothing, "").count() == docs.count()
+
+
 def test_rolled_products_tell_order_apart():
     s = hyper_language.Space(1024, 7)
     a, b = s.profile("abcabcabc"), s.profile("cbacbacba")
