@@ -59,9 +59,15 @@ def rolling(h: np.ndarray, n: int, base: int = _BASES[0]) -> np.ndarray:
     """A well mixed 64-bit hash of every run of ``n`` words."""
     if len(h) < n:
         return np.empty(0, np.uint64)
+    start = np.arange(len(h) - n + 1)
+    return runs(h, start, start + n, base)
+
+
+def runs(h: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
+    """The same hash of the runs of words from ``start`` to ``end``."""
     up, down = _power(base, len(h) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[:-1], dtype=np.uint64)))
-    x = (sums[n:] - sums[:-n]) * down[:len(h) - n + 1]
+    x = (sums[end] - sums[start]) * down[start]
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         x = (x ^ x >> np.uint64(shift)) * np.uint64(factor)
     return x ^ x >> np.uint64(33)

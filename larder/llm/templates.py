@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import bitmap, maybe_in, reachable, stored
-from larder.llm.substring import rolling
+from larder.llm.substring import _BASES, rolling, runs
 
 #: Units of measure that follow a number.
 UNITS = frozenset("""
@@ -80,9 +80,14 @@ def _hashes(tokens: list[str]) -> np.ndarray:
 
 
 def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None):
-    """Rows (id, windows, at, h, slots, width) of the windows with at least ``fixed`` tokens that
-    are no slots.  Items (no ``seen``) shorter than ``width`` are one window of their own;
-    documents give, for each width that items have, the windows ``seen`` may hold."""
+    """Rows (id, windows, at, h, slots, width) of the windows from each place.
+
+    A window of ``width`` tokens with fewer than ``fixed`` tokens that are no slots goes on until
+    it holds so many; where the text ends before, its own tokens are hashed, values in place of
+    slots.  Items (no ``seen``) give one window for each place, those shorter than ``width`` one
+    of their own; documents give, for each width that items have, those windows of either sort
+    that ``seen`` may hold.  Short items of slots alone give none.
+    """
     kind = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.string())]))
     for batch in batches:
         rows = []
@@ -91,22 +96,41 @@ def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None
             if not tokens:
                 continue
             hashes, places = _hashes(tokens), [s[0] for s in slots]
-            taken = np.zeros(len(tokens) + 1, np.int64)
-            taken[[p + 1 for p in places]] = 1
-            taken = np.cumsum(taken)
+            plain = list(tokens)
+            for place, value in slots:
+                plain[place] = value
+            plain = _hashes(plain)
+            firm = np.ones(len(tokens), bool)
+            firm[places] = False
+            before, firm = np.concatenate(([0], np.cumsum(firm))), np.flatnonzero(firm)
             for n in [min(width, len(tokens))] if seen is None else seen:
-                if len(tokens) < n:
+                if len(tokens) < n or seen is None and len(tokens) < width and not len(firm):
                     continue
+                start = np.arange(len(tokens) - n + 1)
+                nth = before[start] + min(fixed, n) - 1
+                whole = nth < len(firm)
+                end = np.maximum(start + n, np.append(firm, 0)[np.where(whole, nth, -1)] + 1)
+                wide = end > start + n
+                if n < width:  # a short item ends with its window: never longer
+                    whole &= ~wide
                 h = rolling(hashes, n)
-                good = n - (taken[n:] - taken[:-n]) >= min(fixed, n)
-                if seen is not None:
-                    at = (h & np.uint64(len(seen[n]) * 8 - 1)).astype(np.int64)
-                    good &= (seen[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                found = np.flatnonzero(good).tolist()
-                for at in found:
-                    low, high = np.searchsorted(places, [at, at + n]) if places else (0, 0)
-                    rows.append((key, len(found), at, int(h[at:at + 1].view(np.int64)[0]),
-                                 [{"at": p - at, "value": v} for p, v in slots[low:high]], n))
+                longer = np.flatnonzero(whole & wide)
+                if len(longer):
+                    h[longer] = runs(hashes, longer, end[longer])
+                exact = rolling(plain, n, _BASES[1])
+                exactly = np.flatnonzero(~whole if seen is None else wide | ~whole)
+                # equal values agree, so those windows need no slots: end is where they start
+                for at, h, end in ((start[whole], h[whole], end[whole]),
+                                   (exactly, exact[exactly], exactly)):
+                    if seen is not None:
+                        bit = (h & np.uint64(len(seen[n]) * 8 - 1)).astype(np.int64)
+                        keep = (seen[n][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                        at, h, end = at[keep], h[keep], end[keep]
+                    low, high = np.searchsorted(places, [at, end]) if places else \
+                        (np.zeros(len(at), int), np.zeros(len(at), int))
+                    rows += [(key, len(start), i, x, [{"at": p - i, "value": v} for p, v in slots[a:b]], n)
+                             for i, x, a, b in zip(at.tolist(), h.view(np.int64).tolist(),
+                                                   low.tolist(), high.tolist())]
         names = ("id", "windows", "at", "h", "slots", "width")
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), kind, pa.int32())
         for start in range(0, len(rows), 20_000):
@@ -132,9 +156,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
             coverage: float = 0.5) -> DataFrame:
     """``doc_id, item_id, windows, coverage, changed`` for documents that ask an item again.
 
-    ``windows`` counts the item's distinct windows of ``width`` template tokens, ``fixed`` of
-    them no slots, found in the document with agreeing slots, ``coverage`` is their share of all
-    such windows, at least ``coverage``; an item of slots alone is not looked for;
+    ``windows`` counts the item's distinct windows of ``width`` template tokens or more, ``fixed``
+    of them no slots, found in the document with agreeing slots, ``coverage`` is their share of
+    the item's windows, at least ``coverage``.  Windows that hold fewer such tokens up to the
+    item's end are looked for with their values; a short item of slots alone is not looked for.
     ``changed`` counts the slots whose value differs.  Items shorter than ``width`` tokens are
     one window and are looked for at their own width.  Null texts match nothing; rows of one id
     count as one document; the benchmark's equal texts count as one item each.

@@ -80,6 +80,22 @@ def test_slots_must_agree(spark):
     assert got[1] > got.get(2, 0)
 
 
+def _asked(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in templates.matches(docs, bench).collect()}
+
+
+def test_items_dense_with_slots_are_found(spark):
+    items = ["What is 12 times 7", "add 3 and 4 to 5", "the sums 3 5 7 9 11 13 15 17 of 2 4 6 8 then double 10 12 14 16 "
+             "18 and give these all back", "x 1 2 3 4 5 6 7 8 9 10 then carry on here with the rest now"]
+    lead = "some words come first and then "
+    wider = items[2].replace("3 5 7", "31 51 71").replace("18", "181")
+    clean = lead + "9 10 then carry on here with nobody"
+    got = _asked(spark, items, [lead + i + " and more follow" for i in items] + [lead + wider + " end", clean, "7 12"])
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 2)}
+
+
 def test_templates_type_their_slots():
     tokens, slots = templates.canonical("He paid 3 dollars and 5% to Anna. Anna left. HE said two km")
     assert [tokens[i] for i, _ in slots] == ["\x01number", "\x02unit", "\x01number", "\x02unit", "\x03name",
