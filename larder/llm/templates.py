@@ -2,7 +2,7 @@
 
 Numbers, units and names become typed placeholders, so a question asked again with other values
 has the same template.  Windows of template tokens are joined by hash; then the slots' values
-must agree: within a document, one value of an item stands for one value throughout.
+must agree: where a document asks the item, one value of it stands for one value throughout.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import bitmap, maybe_in, reachable, stored
@@ -141,6 +141,8 @@ def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None
 _ROWS = ("id long, windows int, at int, h long, slots array<struct<at: int, value: string>>, "
          "width int")
 _BITS = 1 << 22
+#: Tokens that values of other lengths move what follows them by, within one occurrence.
+_SLACK = 3
 
 
 def _bits(h) -> np.ndarray:
@@ -157,8 +159,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     """``doc_id, item_id, windows, coverage, changed`` for documents that ask an item again.
 
     ``windows`` counts the item's distinct windows of ``width`` template tokens or more, ``fixed``
-    of them no slots, found in the document with agreeing slots, ``coverage`` is their share of
-    the item's windows, at least ``coverage``.  Windows that hold fewer such tokens up to the
+    of them no slots, found in the document's best occurrence of it with agreeing slots, ``coverage``
+    is their share of the item's windows, at least ``coverage``.  Windows that hold fewer such tokens up to the
     item's end are looked for with their values; a short item of slots alone is not looked for.
     ``changed`` counts the slots whose value differs.  Items shorter than ``width`` tokens are
     one window and are looked for at their own width.  Null texts match nothing; rows of one id
@@ -176,23 +178,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
                        F.col("slots").alias("item_slots"), "width")
     found = stored(rows.mapInArrow(lambda b: _windows(b, width, fixed, seen), _ROWS).drop("windows")
                    .join(own, ["h", "width"]), "template-hits")
-    pair = F.explode(F.arrays_zip(F.col("item_slots.value").alias("a"),
-                                  F.col("slots.value").alias("b"))).alias("s")
-    # an item's value by what it most often stands for in the document; other uses disagree
-    votes = found.select("id", "item", pair).groupBy("id", "item", "s.a", "s.b").agg(
-        F.count("*").alias("n")).groupBy("id", "item", "a").agg(
-        F.max(F.struct("n", "b")).alias("best")).groupBy("id", "item").agg(
+    # an occurrence: hits that lie alike in item and document, but for values of other lengths
+    lies = Window.partitionBy("id", "item").orderBy("shift", "item_at")
+    apart = F.coalesce(F.col("shift") - F.lag("shift").over(lies) > _SLACK, F.lit(True))
+    found = stored(found.withColumn("shift", F.col("at") - F.col("item_at")).withColumn(
+        "apart", apart.cast("int")).withColumn("occurrence", F.sum("apart").over(
+            lies.rowsBetween(Window.unboundedPreceding, 0))), "template-occurrences")
+    one = ["id", "item", "occurrence"]
+    pairs = F.arrays_zip(F.col("item_slots.value").alias("a"), F.col("slots.value").alias("b"))
+    # an item's value by what it most often stands for there; other uses disagree
+    votes = found.select(*one, F.explode(pairs).alias("s")).groupBy(*one, "s.a", "s.b").agg(
+        F.count("*").alias("n")).groupBy(*one, "a").agg(
+        F.max(F.struct("n", "b")).alias("best")).groupBy(*one).agg(
         F.map_from_entries(F.collect_list(F.struct("a", "best.b"))).alias("stands"))
-    judged = found.join(votes, ["id", "item"], "left").withColumn("agrees", F.coalesce(F.forall(
-        F.arrays_zip(F.col("item_slots.value").alias("a"), F.col("slots.value").alias("b")),
-        lambda s: F.element_at("stands", s["a"]) == s["b"]), F.lit(True)))
-    return judged.filter("agrees").groupBy(
-        F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
+    judged = found.join(votes, one, "left").withColumn("agrees", F.coalesce(F.forall(
+        pairs, lambda s: (s["a"] == s["b"]) | (F.element_at("stands", s["a"]) == s["b"])), F.lit(True)))
+    best = judged.filter("agrees").groupBy(*one).agg(
         F.count_distinct("item_at").alias("windows"),
         (F.count_distinct("item_at") / F.max("windows")).alias("coverage"),
-        F.max(F.size(F.filter(
-            F.arrays_zip(F.col("item_slots.value").alias("a"), F.col("slots.value").alias("b")),
-            lambda s: s["a"] != s["b"]))).cast("long").alias("changed")).filter(
+        F.max(F.size(F.filter(pairs, lambda s: s["a"] != s["b"]))).cast("long").alias("changed"))
+    return best.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
+        F.max(F.struct("windows", "coverage", -F.col("changed"))).alias("m")).select(
+        "doc_id", "item_id", "m.windows", "m.coverage", (-F.col("m.col3")).alias("changed")).filter(
         F.col("coverage") >= coverage)
 
 

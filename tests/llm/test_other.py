@@ -96,6 +96,15 @@ def test_items_dense_with_slots_are_found(spark):
     assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 2)}
 
 
+def test_an_item_asked_twice_with_other_values_is_found(spark):
+    item = "she buys 5 red pens and then 3 blue pens on one day so tell us how many pens are hers"
+    both = [item.replace("5", a).replace("3", b) for a, b in (("5", "3"), ("9", "2"))]
+    assert _asked(spark, [item], [" and also ".join(both), both[1] + " again " + both[1].replace("9", "1")]) == {
+        (0, 0), (1, 0)}
+    short = "give 5 pens or 3 to her now"
+    assert _asked(spark, [short], ["give 5 pens or 3 to her now and give 9 pens or 2 to her now"]) == {(0, 0)}
+
+
 def test_templates_type_their_slots():
     tokens, slots = templates.canonical("He paid 3 dollars and 5% to Anna. Anna left. HE said two km")
     assert [tokens[i] for i, _ in slots] == ["\x01number", "\x02unit", "\x01number", "\x02unit", "\x03name",
