@@ -31,12 +31,21 @@ two three four five six seven eight nine ten eleven twelve thirteen fourteen fif
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
 million billion dozen half twice
 """.split())
+#: Words that start sentences and are no names, whatever the benchmark has in lower case.
+FUNCTION_WORDS = frozenset("""
+a an the this that these those he she it we you they i my your his her its our their who whom whose
+what which when where why how is are was were do does did has have had can could will would shall
+should may might must if then there here and or but so for from in on at by to of with as after
+before not no each every all some any
+""".split())
 NUMBER, UNIT, NAME = "\x01number", "\x02unit", "\x03name"
 
 
-def canonical(text: str) -> tuple[list[str], list[tuple[int, str]]]:
+def canonical(text: str, words: frozenset[str] | None = None
+              ) -> tuple[list[str], list[tuple[int, str]]]:
     """Template tokens, and the slots as (place, value).  A name is a capitalized word that does
-    not start a sentence; a unit is a known one right behind a number; sentence marks go."""
+    not start a sentence, or that starts one and is none of ``words`` (without them none is);
+    a unit is a known one right behind a number; sentence marks go."""
     tokens, slots, starts, number = [], [], True, False
     for word in _TOKEN.findall(text):
         first = word[0]
@@ -52,7 +61,7 @@ def canonical(text: str) -> tuple[list[str], list[tuple[int, str]]]:
             slots.append((len(tokens), low))
             tokens.append(UNIT)
             number = False
-        elif not starts and word[1:] and first != low[0] and word[1:] == low[1:]:
+        elif not (starts and (words is None or low in words)) and word[1:] and first != low[0] and word[1:] == low[1:]:
             slots.append((len(tokens), low))
             tokens.append(NAME)
             number = False
@@ -79,7 +88,16 @@ def _hashes(tokens: list[str]) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None):
+def _lower(batches):
+    """Words that the texts have in lower case: capitalized at a sentence's start, no names."""
+    for batch in batches:
+        found = {w for t in batch.column("text").to_pylist() for w in _TOKEN.findall(t)
+                 if w[0].isalpha() and w == w.lower()}
+        yield pa.record_batch({"word": pa.array(sorted(found), pa.string())})
+
+
+def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None,
+             words: frozenset[str]):
     """Rows (id, windows, at, h, slots, width) of the windows from each place.
 
     A window of ``width`` tokens with fewer than ``fixed`` tokens that are no slots goes on until
@@ -92,7 +110,7 @@ def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-            tokens, slots = canonical(text)
+            tokens, slots = canonical(text, words)
             if not tokens:
                 continue
             hashes, places = _hashes(tokens), [s[0] for s in slots]
@@ -169,14 +187,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     reachable(docs.sparkSession)
     asks = benchmark.filter(F.col(item_text).isNotNull() & F.col(item_id).isNotNull()).select(
         F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).distinct()
-    items = stored(asks.mapInArrow(lambda b: _windows(b, width, fixed, None), _ROWS), "items")
+    # of the benchmark alone, so that a question reads alike in the item and in each document
+    words = FUNCTION_WORDS | {r["word"] for r in asks.mapInArrow(_lower, "word string").distinct().collect()}
+    items = stored(asks.mapInArrow(lambda b: _windows(b, width, fixed, None, words), _ROWS), "items")
     rows = docs.filter(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # <= width
     seen = {n: _bits(items.filter(F.col("width") == n)) for n in widths}
     own = items.select(F.col("id").alias("item"), "windows", F.col("at").alias("item_at"), "h",
                        F.col("slots").alias("item_slots"), "width")
-    found = stored(rows.mapInArrow(lambda b: _windows(b, width, fixed, seen), _ROWS).drop("windows")
+    found = stored(rows.mapInArrow(lambda b: _windows(b, width, fixed, seen, words), _ROWS).drop("windows")
                    .join(own, ["h", "width"]), "template-hits")
     # an occurrence: hits that lie alike in item and document, but for values of other lengths
     lies = Window.partitionBy("id", "item").orderBy("shift", "item_at")

@@ -105,6 +105,14 @@ def test_an_item_asked_twice_with_other_values_is_found(spark):
     assert _asked(spark, [short], ["give 5 pens or 3 to her now and give 9 pens or 2 to her now"]) == {(0, 0)}
 
 
+def test_names_at_sentence_starts_are_slots(spark):
+    item = "Alice has 3 apples. Bob has 5 apples. How many do they have?"
+    again = item.replace("Alice", "Maria").replace("Bob", "Tom")
+    swapped = again.replace("3", "8").replace("5", "4")
+    assert _asked(spark, [item], [again, "Some text. " + swapped, "How many do they have? Tom has apples."]) == {
+        (0, 0), (1, 0)}
+
+
 def test_templates_type_their_slots():
     tokens, slots = templates.canonical("He paid 3 dollars and 5% to Anna. Anna left. HE said two km")
     assert [tokens[i] for i, _ in slots] == ["\x01number", "\x02unit", "\x01number", "\x02unit", "\x03name",
