@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from acceptance.feeds import Lake, plain
-from larder.operators import audit, quality, scd2
+from larder.operators import audit, checks, quality, scd2
 from larder.session import work_dir
-from larder.sources import files, lineage, tables, topics
+from larder.sources import evolving, files, lineage, tables, topics
 from larder.streaming import jobs, scd2_apply
 
 _TEXT = {
@@ -77,6 +77,59 @@ def evolving_folder(lake: Lake) -> DataFrame:
     return files.csv_evolving(lake.spark, folder)
 
 
+def _land(lake: Lake, base: str, columns: tuple[str, ...] = (), evolve: bool = True) -> DataFrame:
+    evolving.run_landing(lake.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", columns, evolve)
+    return evolving.read(lake.spark, f"{base}/out")
+
+
+def _orders_text(lake: Lake) -> DataFrame:
+    return lake.table("orders").select(*(F.col(c).cast("string").alias(n) for c, n in (
+        ("o_orderkey", "order_id"), ("o_custkey", "customer_id"), ("o_orderpriority", "priority"))))
+
+
+def streamed_evolution(lake: Lake) -> DataFrame:
+    """The stream's second run meets a new column in front of the others, in another order."""
+    base, rows = work_dir(lake.spark, "evolution"), _orders_text(lake)
+    for columns in (("order_id", "customer_id"), ("priority", "customer_id", "order_id")):
+        rows.select(*columns).write.mode("append").option("header", True).csv(f"{base}/in")
+        landed = _land(lake, base)
+    return landed.select("order_id", "customer_id", "priority", evolving.RESCUED, "_source_system")
+
+
+def streamed_rescue(lake: Lake) -> DataFrame:
+    """A fixed table: a column it does not have and a field beyond the header are kept as JSON."""
+    base = work_dir(lake.spark, "rescue")
+    rows = lake.table("events").selectExpr(
+        "event_id", "user_id", "IF(event_id % 83 = 0, concat(event_type, ',surplus'), event_type) AS event_type")
+    for columns in (("event_id", "event_type"), ("user_id", "event_id", "event_type")):
+        # as plain lines, so that the comma inside makes a field of its own
+        lines = rows.select(F.concat_ws(",", *columns).alias("line"), (F.monotonically_increasing_id().bitwiseAND(
+            F.lit((1 << 33) - 1)) == 0).alias("first"))
+        lines.select(F.explode(F.when(F.col("first"), F.array(F.lit(",".join(columns)), "line")).otherwise(
+            F.array("line"))).alias("value")).write.mode("append").text(f"{base}/in")
+        landed = _land(lake, base, ("event_id", "event_type"), False)
+    return landed.select("event_id", "event_type", evolving.RESCUED)
+
+
+def reconciled_files(lake: Lake) -> DataFrame:
+    """Source files against landed rows; one folder arrived after the landing and is missed."""
+    spark, base = lake.spark, work_dir(lake.spark, "reconcile")
+    part = F.pmod(F.coalesce(F.col("store_id").try_cast("int"), F.lit(0)), F.lit(8))
+    rows = lake.transactions.select(*_TEXT["transactions"]).withColumn("part", part)
+    writer = lambda df: df.write.mode("append").option("header", True).partitionBy("part").csv(
+        f"{base}/in")
+    writer(rows.where("part <> 3"))
+    landed = _land(lake, base, _TEXT["transactions"])
+    writer(rows.where("part = 3"))
+    source = files.csv_inferred(spark, f"{base}/in")
+    found = checks.files_agree(
+        source, landed, F.col("_metadata.file_path"), F.col("source_file_path"),
+        F.col("quantity").try_cast("int"), F.col("quantity").try_cast("int"))
+    return found.groupBy(F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part")).agg(
+        *(F.sum(c).alias(c) for c in ("source_rows", "landed_rows", "source_sum", "landed_sum")),
+        F.every("reconciles").alias("reconciles"))
+
+
 def corrupt_lines(lake: Lake) -> DataFrame:
     """Lines with one field too many keep their text in the corrupt column."""
     folder = f"{work_dir(lake.spark, 'corrupt')}/in"

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from acceptance.feeds import CLOCK, REGION, Lake, moment, plain
-from acceptance.landing import (bronze_files, corrupt_lines, evolving_folder, landed_lineage,
+from acceptance.landing import (bronze_files, corrupt_lines, reconciled_files,
+                                streamed_evolution, streamed_rescue, evolving_folder, landed_lineage,
                                 late_orders, logged, streamed_documents, streamed_history,
                                 streamed_inventory, streamed_orders, streamed_split,
                                 streamed_topic, text_columns)
@@ -51,6 +52,26 @@ add("csv_schema_evolution", evolving_folder,
        CAST(NULL AS VARCHAR) AS nation FROM supplier
        UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR)
        FROM supplier""")
+_GENERATION = """CAST(o_orderkey AS VARCHAR) AS order_id,
+    CAST(o_custkey AS VARCHAR) AS customer_id, {} AS priority,
+    CAST(NULL AS VARCHAR) AS _rescued_data, 'adls' AS _source_system FROM orders"""
+add("stream_csv_evolution", streamed_evolution,
+    f"""SELECT {_GENERATION.format("CAST(NULL AS VARCHAR)")}
+        UNION ALL SELECT {_GENERATION.format("o_orderpriority")}""")
+_SURPLUS = "event_id % 83 = 0"
+add("stream_rescued", streamed_rescue,
+    f"""SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+        CASE WHEN {_SURPLUS} THEN '{{"_c2":"surplus"}}' END AS _rescued_data FROM events
+        UNION ALL SELECT CAST(event_id AS VARCHAR), event_type, '{{"user_id":"' || user_id || '"'
+        || CASE WHEN {_SURPLUS} THEN ',"_c3":"surplus"' ELSE '' END || '}}' FROM events""")
+add("source_files", reconciled_files,
+    f"""SELECT part, COUNT(*) AS source_rows,
+        CAST(CASE WHEN part = 3 THEN 0 ELSE COUNT(*) END AS BIGINT) AS landed_rows,
+        coalesce(CAST(SUM(TRY_CAST(quantity AS INT)) AS DOUBLE), 0.0) AS source_sum,
+        CASE WHEN part = 3 THEN 0.0 ELSE coalesce(CAST(SUM(TRY_CAST(quantity AS INT)) AS DOUBLE), 0.0)
+            END AS landed_sum, part <> 3 AS reconciles
+        FROM (SELECT *, CAST(coalesce(TRY_CAST(store_id AS INT), 0) % 8 AS INT) AS part
+              FROM f_transactions) GROUP BY part""")
 add("bronze_corrupt_records", corrupt_lines,
     """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
        CASE WHEN event_id % 83 = 0 THEN event_id || ',' || event_type || ',surplus' END

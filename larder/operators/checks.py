@@ -154,6 +154,27 @@ def count_at_least(source: DataFrame, landed: DataFrame) -> DataFrame:
     return counts.withColumn("reconciles", F.col("landed_rows") >= F.col("source_rows"))
 
 
+def files_agree(source: DataFrame, landed: DataFrame, source_file: Column, landed_file: Column,
+                source_sum: Column, landed_sum: Column, tolerance: float = 1.0) -> DataFrame:
+    """One row per file: what it holds at the source and what landed of it.
+
+    ``source_file`` and ``landed_file`` name the file of a row; the sums are of one measure in
+    each table's own type.  A file that never landed, or landed and is gone from the source,
+    has no rows on the other side and does not reconcile.
+    """
+    def side(df: DataFrame, file: Column, total: Column, name: str) -> DataFrame:
+        return df.groupBy(file.alias("file")).agg(
+            _rows(f"{name}_rows"), F.sum(total).cast("double").alias(f"{name}_sum"))
+
+    both = side(source, source_file, source_sum, "source").unionByName(
+        side(landed, landed_file, landed_sum, "landed"), allowMissingColumns=True)
+    one = both.groupBy("file").agg(*(
+        F.coalesce(F.max(c), F.lit(0)).alias(c)
+        for c in ("source_rows", "landed_rows", "source_sum", "landed_sum")))
+    return one.withColumn("reconciles", (F.col("source_rows") == F.col("landed_rows")) & (
+        F.abs(F.col("source_sum") - F.col("landed_sum")) <= tolerance))
+
+
 def split_is_complete(raw: DataFrame, valid: DataFrame, quarantined: DataFrame) -> DataFrame:
     """One row: every input row went to exactly one side."""
     counts = _totals({"raw_rows": raw, "valid_rows": valid, "quarantined_rows": quarantined},

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +16,47 @@ from larder.plans import silver
 WATERMARK = "10 minutes"  # fixed value: how late an event may be
 
 
+class LostCheckpoint(RuntimeError):
+    """A table and a checkpoint that do not belong together."""
+
+
+def _line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a small text folder, nothing if there is none."""
+    try:
+        row = spark.read.text(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return row and row[0]
+
+
+def tie(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Ties a table to the checkpoint that fills it; refuses any other one.
+
+    Batch numbers start again with a new checkpoint: a table's folders would be overwritten
+    one by one, or a sink would skip the first batches as done.  Both get the same mark before
+    the first batch, and a start needs both marks to agree.  A table or checkpoint from before
+    there were marks is taken over, and so is one left half marked before any batch.
+    """
+    table, own = _line(spark, f"{path}/_owner"), _line(spark, f"{checkpoint}/_owner")
+    if table is not None and table == own:
+        return
+    if table is None and (own is None or _line(spark, f"{checkpoint}/commits") is None):
+        mark = own or str(uuid.uuid4())
+        for place in (checkpoint, path):
+            spark.createDataFrame([(mark,)], "value STRING").coalesce(1).write.mode(
+                "overwrite").text(f"{place}/_owner")
+        return
+    raise LostCheckpoint(
+        f"{path} was filled from another checkpoint than {checkpoint}: restore that one, or "
+        "start an empty table")
+
+
 def run_append(stream: DataFrame, path: str, checkpoint: str,
                name: str | None = None) -> StreamingQuery:
     """Process everything that has arrived since the last run, then stop."""
+    tie(stream.sparkSession, path, checkpoint)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -26,14 +66,18 @@ def run_append(stream: DataFrame, path: str, checkpoint: str,
 
 
 def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None],
-                checkpoint: str) -> StreamingQuery:
-    """Hand every micro-batch to ``each``, which must be safe to repeat for one batch id."""
-    query = (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+                checkpoint: str, path: str | None = None,
+                name: str | None = None) -> StreamingQuery:
+    """Hand every micro-batch to ``each``, which must be safe to repeat for one batch id.
+
+    ``path`` is the table that ``each`` writes; it is tied to the checkpoint.
+    """
+    if path:
+        tie(stream.sparkSession, path, checkpoint)
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -94,7 +138,7 @@ def run_split(stream: DataFrame, rules: Rules, path: str, checkpoint: str,
             SET_ASIDE_AT: F.when(~F.col(VERDICT), now)})
         judged.write.mode("overwrite").partitionBy(VERDICT).parquet(f"{path}/batch={batch_id}")
 
-    return run_batches(stream, write, checkpoint)
+    return run_batches(stream, write, checkpoint, path)
 
 
 def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from larder.operators import quality, scd2
 from larder.operators.audit import RunLog
 from larder.plans import silver
 from larder.plans.refresh import refresh_gold
-from larder.sources import files, lineage, tables, topics
+from larder.sources import evolving, lineage, tables, topics
 from larder.streaming import jobs, scd2_apply
 
 SPLIT_RULES = {
@@ -23,6 +23,7 @@ SPLIT_RULES = {
     "orders": quality.ORDER_RULES,
     "inventory": quality.INVENTORY_RULES,
 }
+CSV_TABLES = ("transactions", "returns", "stores", "regions", "calendar")
 # Rows of one landing batch follow each other by their place in the landed files.
 PLACE = ("_landed_file", "_landed_row")
 HISTORIES = {
@@ -54,8 +55,10 @@ class Layout:
 # -- bronze ------------------------------------------------------------------------
 
 def land_csv(spark: SparkSession, layout: Layout, table: str, folder: str,
-             columns: Sequence[str]) -> None:
-    layout.append(files.csv_stream(spark, folder, columns), "bronze", table)
+             columns: Sequence[str], evolve: bool = True) -> None:
+    """New files under their own headers; new columns are added, surplus fields rescued."""
+    evolving.run_landing(spark, folder, layout.table("bronze", table),
+                         layout.checkpoint("bronze", table), columns, evolve)
 
 
 def land_topic(layout: Layout, table: str, records: DataFrame) -> None:
@@ -71,6 +74,8 @@ def land_documents(layout: Layout, table: str, documents: DataFrame) -> None:
 # -- silver ------------------------------------------------------------------------
 
 def _upstream(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFrame:
+    if layer == "bronze" and table in CSV_TABLES:
+        return evolving.stream(spark, layout.table(layer, table)).drop(evolving.RESCUED)
     return tables.parquet_stream(spark, layout.table(layer, table))
 
 

@@ -39,7 +39,7 @@ def run_history(stream: DataFrame, spec: Spec, path: str, checkpoint: str,
     def apply(batch: DataFrame, batch_id: int) -> None:
         apply_changes(batch, batch_id, spec, path, hot_rows)
 
-    return run_batches(stream, apply, checkpoint)
+    return run_batches(stream, apply, checkpoint, path)
 
 
 def apply_changes(batch: DataFrame, batch_id: int, spec: Spec, path: str,
