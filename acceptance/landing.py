@@ -12,7 +12,8 @@ from acceptance.feeds import Lake, plain
 from larder.operators import audit, checks, quality, scd2
 from larder.session import work_dir
 from larder.sources import evolving, files, lineage, tables, topics
-from larder.streaming import jobs, scd2_apply
+from larder.streaming import facts, jobs, scd2_apply
+from larder.streaming.watch import Watch
 
 _TEXT = {
     "transactions": ("product_id", "customer_id", "store_id", "transaction_date", "quantity"),
@@ -168,6 +169,47 @@ def streamed_orders(lake: Lake) -> DataFrame:
     return plain(_append(lake, jobs.orders(stream, lake.clock), "orders"))
 
 
+def streamed_facts(lake: Lake, table: str) -> DataFrame:
+    """Three runs of one stream, by order number; the last one brings all rows once more."""
+    spark, base = lake.spark, work_dir(lake.spark, f"facts-{table}")
+    rows = getattr(lake, table)
+    third = lake.table("orders").agg(F.max("o_orderkey")).first()[0] // 3 + 1
+    for n in range(4):
+        part = rows if n == 3 else rows.where(F.floor(F.col("l_orderkey") / third) == n)
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = tables.parquet_stream(spark, f"{base}/in")
+        order = ["l_orderkey", "l_linenumber", "quantity"] if table == "transactions" else [
+            "l_orderkey", "quantity"]
+        facts.run_facts(stream, table, f"{base}/out", f"{base}/checkpoint", order, lake.clock)
+    return plain(facts.read(spark, f"{base}/out").drop("l_orderkey", "l_linenumber"))
+
+
+def watched(lake: Lake) -> DataFrame:
+    """The log of a stream over three files, each one micro-batch, started again once."""
+    spark, base = lake.spark, work_dir(lake.spark, "watched")
+    rows = lake.silver_transactions.drop("l_orderkey", "l_linenumber")
+    with Watch(spark, f"{base}/log") as watch:
+        for n in range(2):
+            rows.repartition(3 - n).write.mode("append").parquet(f"{base}/in")
+            stream = watch.observed(tables.parquet_stream(spark, f"{base}/in", 1), "silver", "transactions")
+            jobs.run_append(stream, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/log")
+
+
+def streamed_row_counts(lake: Lake) -> DataFrame:
+    return watched(lake).where("event_type = 'ROW_COUNT'").groupBy("layer", "table_name", "log_level").agg(
+        F.count_distinct("batch").alias("n_batches"), F.count(F.lit(1)).alias("n_events"),
+        F.sum("row_count_input").alias("rows_in"), F.sum("row_count_output").alias("rows_out"))
+
+
+def streamed_expectations(lake: Lake) -> DataFrame:
+    checked = watched(lake).where("event_type = 'DQ_CHECK'")
+    said = lambda key: F.get_json_object("extra_metrics", f"$.{key}")
+    return checked.groupBy("table_name", said("check").alias("rule")).agg(
+        F.sum(said("rows").cast("bigint") - said("failed").cast("bigint")).alias("passed"),
+        F.sum(said("failed").cast("bigint")).alias("failed"))
+
+
 def streamed_inventory(lake: Lake) -> DataFrame:
     """Without the broker times: which of two equal payloads comes first is open."""
     stream = bronze_table(lake, lake.bronze_inventory, "inventory-bronze")

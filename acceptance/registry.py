@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from acceptance.feeds import CLOCK, REGION, Lake, moment, plain
 from acceptance.landing import (bronze_files, corrupt_lines, reconciled_files,
-                                streamed_evolution, streamed_rescue, evolving_folder, landed_lineage,
+                                streamed_evolution, streamed_expectations, streamed_facts,
+                                streamed_rescue, streamed_row_counts, evolving_folder, landed_lineage,
                                 late_orders, logged, streamed_documents, streamed_history,
                                 streamed_inventory, streamed_orders, streamed_split,
                                 streamed_topic, text_columns)
@@ -692,6 +693,15 @@ add("pipeline_log_append",
 add("stream_dedup_orders", streamed_orders, "SELECT * FROM s_orders")
 add("stream_dedup_inventory", streamed_inventory,
     """SELECT * EXCLUDE ("timestamp", processing_time) FROM s_inventory""")
+for _table in ("transactions", "returns"):
+    add(f"stream_dedup_{_table}", lambda lake, t=_table: streamed_facts(lake, t),
+        f"SELECT * FROM s_{_table}")
+add("stream_row_counts", streamed_row_counts,
+    """SELECT 'silver' AS layer, 'transactions' AS table_name, 'INFO' AS log_level, 5 AS n_batches,
+       5 AS n_events, 2 * COUNT(*) AS rows_in, 2 * COUNT(*) AS rows_out FROM s_transactions""")
+add("stream_expectations", streamed_expectations,
+    f"""SELECT 'transactions' AS table_name, rule, 2 * passed AS passed, 2 * failed AS failed
+        FROM ({_counts_sql("s_transactions", quality.WARNINGS["transactions"])})""")
 add("stream_late_rows", late_orders,
     """SELECT order_id, "timestamp" FROM s_orders UNION ALL
        SELECT 'LATE-' || event_id, ts FROM events

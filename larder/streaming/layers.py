@@ -16,7 +16,8 @@ from larder.operators.audit import RunLog
 from larder.plans import silver
 from larder.plans.refresh import refresh_gold
 from larder.sources import evolving, lineage, tables, topics
-from larder.streaming import jobs, scd2_apply
+from larder.streaming import facts, jobs, scd2_apply
+from larder.streaming.watch import Watch
 
 SPLIT_RULES = {
     "transactions": quality.TRANSACTION_RULES,
@@ -38,9 +39,10 @@ HISTORIES = {
 
 @dataclass(frozen=True)
 class Layout:
-    """Where tables and checkpoints are."""
+    """Where tables and checkpoints are, and who logs the streams that fill them."""
 
     root: str
+    watch: Watch | None = None
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -49,6 +51,8 @@ class Layout:
         return f"{self.root}/_checkpoints/{layer}/{name}"
 
     def append(self, stream: DataFrame, layer: str, name: str) -> None:
+        if self.watch is not None:
+            stream = self.watch.observed(stream, layer, name, None if layer == "silver" else {})
         jobs.run_append(stream, self.table(layer, name), self.checkpoint(layer, name))
 
 
@@ -74,6 +78,8 @@ def land_documents(layout: Layout, table: str, documents: DataFrame) -> None:
 # -- silver ------------------------------------------------------------------------
 
 def _upstream(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFrame:
+    if layer == "silver" and table in facts.DATES:
+        return facts.stream(spark, layout.table(layer, table))
     if layer == "bronze" and table in CSV_TABLES:
         return evolving.stream(spark, layout.table(layer, table)).drop(evolving.RESCUED)
     return tables.parquet_stream(spark, layout.table(layer, table))
@@ -86,6 +92,10 @@ def clean(spark: SparkSession, layout: Layout, table: str, strict: bool = False)
     without store are dropped.  Otherwise such rows go on to the quarantine.
     """
     bronze = _upstream(spark, layout, "bronze", table)
+    if table in facts.DATES:
+        facts.run_facts(bronze, table, layout.table("silver", table),
+                        layout.checkpoint("silver", table), watch=layout.watch)
+        return
     if table == "orders":
         rows = jobs.orders(bronze)
     elif table == "inventory":
@@ -143,6 +153,8 @@ def read_current(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 def publish(spark: SparkSession, layout: Layout, log: RunLog | None = None
             ) -> dict[str, DataFrame]:
     def cleaned(table: str) -> DataFrame:
+        if table in facts.DATES:
+            return facts.read(spark, layout.table("silver", table))
         return spark.read.parquet(layout.table("silver", table))
 
     return refresh_gold(

@@ -1,9 +1,11 @@
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from larder.operators import quality, scd2
 from larder.plans import silver
@@ -126,12 +128,38 @@ def test_streamed_history_equals_batch_history(spark, tmp_path, ignore_nulls):
     want = rows(scd2.history(whole, spec))
     got = scd2_apply.read_history(spark, path, spec)
     assert rows(got.select("k", "a", "b", scd2.START, scd2.END)) == want
-    scd2_apply.compact(spark, path, spec, f"{tmp_path}/flat")
-    assert spark.read.parquet(f"{tmp_path}/flat").count() == len(want)
     cuts = spark.read.parquet(f"{path}/touched").where("__late").count()
     assert cuts > 0, "the feed should exercise late changes"
 
 
+def test_history_of_many_batches_reads_a_bounded_part(spark, tmp_path, monkeypatch):
+    """Files and bytes that a batch looks for open versions in do not grow with the batches."""
+    monkeypatch.setattr(scd2_apply, "FANOUT", 2)
+    spec, path, read = scd2.Spec(["k"], "at", ["a"], True, ["pos"]), f"{tmp_path}/h", {}
+    rng, changes, schema = random.Random(3), [], "k STRING, at TIMESTAMP, pos INT, a STRING"
+    for n in range(9):
+        late = n % 4 == 3
+        made = [(f"k{i}", T + dt.timedelta(minutes=10 * (n - 3 * late) + rng.randrange(9)), n * 10 + i,
+                 rng.choice("pqr")) for i in range(6)]
+        changes += made
+        df = spark.createDataFrame(made, schema).coalesce(1)
+        if n in (4, 8):
+            known = scd2_apply.manifest(spark, path, n)
+            found = scd2_apply.open_versions(spark, path, spec, known, df.withColumn("bucket", F.lit(0)))
+            files = [f.removeprefix("file://") for f in found.inputFiles()]
+            read[n] = len(known.state), len(files), sum(os.path.getsize(f) for f in files)
+            assert found.count() == 6
+        for _ in range(1 + (n == 5)):  # a repeated batch also merges again
+            scd2_apply.apply_changes(df, n, spec, path)
+    assert read[8][:2] == read[4][:2] and read[8][2] <= 1.2 * read[4][2]
+    runs = scd2_apply.manifest(spark, path)
+    assert runs.state == ((0, 7, 2), (8, 8, 0)) and runs.history == ((0, 7, 3), (8, 8, 0))
+    # those of the manifest before stay for its readers
+    assert all(len(os.listdir(f"{path}/{t}")) == 2 for t in ("changes", "touched", "versions", "state"))
+    want = rows(scd2.history(spark.createDataFrame(changes, schema), spec))
+    assert rows(scd2_apply.read_history(spark, path, spec).select("k", "a", scd2.START, scd2.END)) == want
+
+
 def test_observed_rules_in_a_stream(spark, tmp_path):
     feed = Feed(spark, tmp_path, "order_id STRING, quantity INT")
     feed.add([("a", 1), (None, 0)])
