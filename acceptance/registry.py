@@ -378,6 +378,23 @@ for _who, _groups in _CALLERS.items():
         f"SELECT * REPLACE ({_cost} AS product_cost) FROM d_product")
 
 
+def _sql_view(view: str, groups: set[str]) -> Answer:
+    def answer(lake: Lake) -> DataFrame:
+        secure.create_sql_views(lake.spark, {
+            "fact_sales": lake.sales, "fact_returns": lake.returned, "dim_store": lake.dim_store,
+            "dim_customer": lake.dim_customer, "dim_product": lake.dim_product}, REGION)
+        secure.act_as(lake.spark, groups)
+        return lake.spark.sql(f"SELECT * FROM v_secure_{view}")
+
+    return answer
+
+
+for _who, _groups in _CALLERS.items():
+    for _view in ("fact_sales", "fact_returns", "dim_customer", "dim_product"):
+        QUERIES[f"sql_secure_{_view}_{_who}"] = _sql_view(_view, _groups)
+        ORACLE[f"sql_secure_{_view}_{_who}"] = ORACLE[f"secure_{_view}_{_who}"]
+
+
 # -- operations --------------------------------------------------------------------
 
 def _ops(name: str, sql: str, *inputs: str) -> None:

@@ -57,6 +57,25 @@ def test_dimension_masks(spark, gold):
     assert shown(set()) == ([("c", "REDACTED", "RESTRICTED")], [("p", None)])
 
 
+def test_sql_views_answer_for_the_groups_of_the_moment(spark, gold):
+    """One definition, every caller, equal to the function form; no groups see no rows."""
+    secure.create_sql_views(spark, gold)
+    views = ("fact_sales", "fact_returns", "dim_customer", "dim_product")
+    assert spark.sql("SELECT * FROM v_secure_fact_sales").count() == 0
+    for groups in ({"admins"}, {"data_engineers"}, {"data_analysts"}, {"central_managers"},
+                   {"central_managers", "other_region_managers"}, {"it's \\ odd"}, set()):
+        secure.act_as(spark, groups)
+        got = {v: rows(spark.sql(f"SELECT * FROM v_secure_{v}")) for v in views}
+        made = {
+            "fact_sales": secure.secure_fact_sales(gold["fact_sales"], gold["dim_store"], groups),
+            "fact_returns": secure.secure_fact_returns(gold["fact_returns"], gold["dim_store"], groups),
+            "dim_customer": secure.secure_dim_customer(gold["dim_customer"], groups),
+            "dim_product": secure.secure_dim_product(gold["dim_product"], groups)}
+        assert got == {v: rows(made[v].select(*spark.table(f"v_secure_{v}").columns)) for v in views}
+    plan = spark.sql("SELECT * FROM v_secure_fact_sales")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in plan, "without groups nothing is read"
+
+
 def test_masked_columns_are_not_read(spark, gold, tmp_path):
     gold["fact_sales"].write.parquet(f"{tmp_path}/f")
     sales = spark.read.parquet(f"{tmp_path}/f")
