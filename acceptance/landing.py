@@ -180,7 +180,8 @@ def streamed_facts(lake: Lake, table: str) -> DataFrame:
         stream = tables.parquet_stream(spark, f"{base}/in")
         order = ["l_orderkey", "l_linenumber", "quantity"] if table == "transactions" else [
             "l_orderkey", "quantity"]
-        facts.run_facts(stream, table, f"{base}/out", f"{base}/checkpoint", order, lake.clock)
+        facts.run_facts(stream, table, f"{base}/out", f"{base}/checkpoint", order, lake.clock,
+                        "month")
     return plain(facts.read(spark, f"{base}/out").drop("l_orderkey", "l_linenumber"))
 
 

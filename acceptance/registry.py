@@ -714,8 +714,8 @@ for _table in ("transactions", "returns"):
     add(f"stream_dedup_{_table}", lambda lake, t=_table: streamed_facts(lake, t),
         f"SELECT * FROM s_{_table}")
 add("stream_row_counts", streamed_row_counts,
-    """SELECT 'silver' AS layer, 'transactions' AS table_name, 'INFO' AS log_level, 5 AS n_batches,
-       5 AS n_events, 2 * COUNT(*) AS rows_in, 2 * COUNT(*) AS rows_out FROM s_transactions""")
+    """SELECT 'silver' AS layer, 'transactions' AS table_name, 'INFO' AS log_level, CAST(5 AS BIGINT) AS n_batches,
+       CAST(5 AS BIGINT) AS n_events, 2 * COUNT(*) AS rows_in, 2 * COUNT(*) AS rows_out FROM s_transactions""")
 add("stream_expectations", streamed_expectations,
     f"""SELECT 'transactions' AS table_name, rule, 2 * passed AS passed, 2 * failed AS failed
         FROM ({_counts_sql("s_transactions", quality.WARNINGS["transactions"])})""")

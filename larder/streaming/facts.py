@@ -1,7 +1,8 @@
 """Deduplicated fact streams without state: a batch is compared with what has landed.
 
-A fact's key holds its business date.  Landed rows lie in one folder per date and micro-batch,
-so a batch looks for its keys in the folders of its own dates only.  No state is carried from
+A fact's key holds its business date.  Landed rows lie in one folder per period of that date and
+micro-batch, so a batch looks for its keys in the folders of its own periods only.  A period is
+a day, or a month where days are many and small.  No state is carried from
 batch to batch, however long the stream runs, and a copy is dropped however late it comes.
 """
 
@@ -20,13 +21,14 @@ from larder.plans import silver
 from larder.streaming.jobs import run_batches
 
 #: Partition columns of the landed table.
-DAY, BATCH = "_day", "_landed_batch"
+PERIOD, BATCH = "_period", "_landed_batch"
+GRAINS = {"day": lambda date: date.cast("date"), "month": lambda date: F.trunc(date, "MONTH")}
 DATES = {"transactions": "transaction_date", "returns": "return_date"}
 
 
 def run_facts(bronze: DataFrame, table: str, path: str, checkpoint: str,
               order_by: Sequence[str | Column] = (), clock: Column | None = None,
-              name: str | None = None, watch=None) -> StreamingQuery:
+              grain: str = "day", name: str | None = None, watch=None) -> StreamingQuery:
     """Clean all rows of a fact feed that have arrived and land the new keys, then stop.
 
     ``order_by`` says which copy within a batch survives; without it the least row.  ``watch``
@@ -35,20 +37,20 @@ def run_facts(bronze: DataFrame, table: str, path: str, checkpoint: str,
     keys, date = list(silver.KEYS[table]), DATES[table]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        new = silver.stamp_csv(unseen(batch, batch_id, path, keys, date, order_by), table, clock)
+        new = silver.stamp_csv(unseen(batch, batch_id, path, keys, date, order_by, grain), table, clock)
         if watch is None:
-            land(new, batch_id, path, date)
+            land(new, batch_id, path, date, grain)
             return
         # counted where the rows are written: a batch's own plan runs more than once
         seen, rules = Observation(), quality.WARNINGS.get(table, {})
-        land(quality.observe_rules(new, rules, seen), batch_id, path, date)
+        land(quality.observe_rules(new, rules, seen), batch_id, path, date, grain)
         watch.record("silver", table, rules, seen.get, f"silver.{table}", batch_id)
 
     return run_batches(silver.conform_csv(bronze, table), each, checkpoint, path, name)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DAY, BATCH)
+    return spark.read.parquet(path).drop(PERIOD, BATCH)
 
 
 def stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -56,19 +58,19 @@ def stream(spark: SparkSession, path: str, max_files: int | None = None) -> Data
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).drop(DAY, BATCH)
+    return reader.parquet(path).drop(PERIOD, BATCH)
 
 
 def landed_keys(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                days: DataFrame, batch_id: int) -> DataFrame | None:
-    """Keys that earlier batches landed for the dates of ``days``; other folders are not read."""
-    shape = T.StructType([*(schema[k] for k in keys), T.StructField(DAY, T.DateType()),
+                periods: DataFrame, batch_id: int) -> DataFrame | None:
+    """Keys that earlier batches landed in these ``periods``; other folders are not read."""
+    shape = T.StructType([*(schema[k] for k in keys), T.StructField(PERIOD, T.DateType()),
                           T.StructField(BATCH, T.IntegerType())])
-    dates = [r[0] for r in days.collect()]  # distinct calendar days of one batch
+    dates = [r[0] for r in periods.collect()]  # those of one batch
     known = [F.lit(d) for d in dates if d is not None]
-    wanted = F.col(DAY).isin(known) if known else F.lit(False)
+    wanted = F.col(PERIOD).isin(known) if known else F.lit(False)
     if None in dates:
-        wanted = wanted | F.col(DAY).isNull()
+        wanted = wanted | F.col(PERIOD).isNull()
     try:
         rows = spark.read.schema(shape).parquet(path)
     except AnalysisException as error:
@@ -79,19 +81,19 @@ def landed_keys(spark: SparkSession, path: str, schema: T.StructType, keys: Sequ
 
 
 def unseen(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], date: str,
-           order_by: Sequence[str | Column] = ()) -> DataFrame:
+           order_by: Sequence[str | Column] = (), grain: str = "day") -> DataFrame:
     """One row for each key of the batch that no earlier batch landed; NULL keys are equal."""
     first = keep_first(batch, keys, order_by or [F.struct(*batch.columns)])
-    days = batch.select(F.col(date).cast("date").alias(DAY)).distinct()
-    seen = landed_keys(batch.sparkSession, path, batch.schema, keys, days, batch_id)
+    periods = batch.select(GRAINS[grain](F.col(date)).alias(PERIOD)).distinct()
+    seen = landed_keys(batch.sparkSession, path, batch.schema, keys, periods, batch_id)
     if seen is None:
         return first
     same = all_of(F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys)
     return first.alias("n").join(seen.alias("s"), same, "left_anti")
 
 
-def land(rows: DataFrame, batch_id: int, path: str, date: str) -> None:
-    """Write a batch's folders, one per date; a repeated batch overwrites just these."""
-    placed = rows.withColumns({DAY: F.col(date).cast("date"), BATCH: F.lit(batch_id)})
-    (placed.hint("rebalance", DAY).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(path))
+def land(rows: DataFrame, batch_id: int, path: str, date: str, grain: str = "day") -> None:
+    """Write a batch's folders, one per period; a repeated batch overwrites just these."""
+    placed = rows.withColumns({PERIOD: GRAINS[grain](F.col(date)), BATCH: F.lit(batch_id)})
+    (placed.hint("rebalance", PERIOD).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD, BATCH).parquet(path))

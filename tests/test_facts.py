@@ -54,11 +54,11 @@ def test_a_batch_reads_its_own_dates_and_can_be_repeated(spark, tmp_path):
             facts.land(new, n, path, "transaction_date")
     assert facts.read(spark, path).count() == 15
     rows_ = batch(4, 2)
-    days = rows_.select(F.col("transaction_date").alias(facts.DAY)).distinct()
+    days = rows_.select(F.col("transaction_date").alias(facts.PERIOD)).distinct()
     seen = facts.landed_keys(spark, path, rows_.schema, keys, days, 4)
     plan = seen._jdf.queryExecution().executedPlan().toString()
     filters = re.search(r"PartitionFilters: \[([^]]*)\]", plan)[1]
-    assert "_day" in filters and "2024-01-02" in filters and "_landed_batch" in filters
+    assert "_period" in filters and "2024-01-02" in filters and "_landed_batch" in filters
     assert seen.count() == 5
 
 
