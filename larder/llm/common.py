@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -36,6 +37,28 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, *paths) if p)
 
 
+_held: dict = {}
+
+
+def held(name, make):
+    """What ``make`` gives, kept by this Python worker until another name is asked for.
+
+    Workers outlive a stage.  So that the caches of the stages a worker has served do not add
+    up, it keeps one at a time: the next operator's takes the place of the last one's.
+    """
+    if name not in _held:
+        forget()
+        _held[name] = make()
+    return _held[name]
+
+
+def forget() -> None:
+    """Drops what this worker keeps, as operators do that keep nothing."""
+    if _held:
+        _held.clear()
+        gc.collect()
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that ``spark.checkpoint.dir`` names.
 

@@ -10,18 +10,28 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import reachable
+from larder.llm.common import held, reachable
 
-_OTHER = re.compile(r"[\W\d_]+")
-_KEPT = 30_000
-#: Distinct trigrams that tell: with fewer, clean texts of a learned language score like noise.
-ENOUGH = 40
+#: Below U+0300 there are no marks, and number signs are the only word characters to leave out.
+_OTHER, _BEYOND = re.compile(r"[\W\d_²³¹¼½¾]+"), re.compile("[^\u0000-\u02ff]")
+_KEPT, _BLOCK = 30_000, 1_000
+#: How far below the bar clean texts of n trigrams were seen, times n (the four test languages).
+DOUBT = 4.0
+
+
+@cache
+def _no_letters():
+    """All but letters and the marks that follow them."""
+    import regex
+
+    return regex.compile(r"[^\p{L}\p{M}]+|(?<![\p{L}\p{M}])\p{M}+")
 
 
 class Space:
@@ -30,12 +40,12 @@ class Space:
     def __init__(self, dims: int, seed: int):
         self.dims, self.seed, self.letters = dims, seed, {}
         self.row: dict[int, int] = {}
-        self.vectors = np.zeros((1024, dims), np.float32)
+        self.vectors = np.zeros((1024, dims), np.int8)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
             flips = np.random.default_rng((self.seed, code)).integers(0, 2, self.dims)
-            self.letters[code] = (flips * 2 - 1).astype(np.float32)
+            self.letters[code] = (flips * 2 - 1).astype(np.int8)
         return self.letters[code]
 
     def _rows(self, grams: list[int]) -> list[int]:
@@ -58,7 +68,8 @@ class Space:
     def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """A text's distinct letter trigrams, words set apart by one space, and their counts;
         nothing for a text without letters."""
-        plain = _OTHER.sub(" ", (text or "").lower()).strip()
+        low = (text or "").lower()
+        plain = (_no_letters() if _BEYOND.search(low) else _OTHER).sub(" ", low).strip()
         if not plain:
             return None
         codes = np.frombuffer(f" {plain} ".encode("utf-32-le", "replace"), "<u4").astype(np.int64)
@@ -71,20 +82,15 @@ class Space:
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
         total = np.zeros(self.dims, np.float32)
-        for at in range(0, len(grams), _KEPT):
-            rows = self._rows(grams[at:at + _KEPT].tolist())
-            total += counts[at:at + _KEPT].astype(np.float32) @ self.vectors[rows]
+        for at in range(0, len(grams), _BLOCK):
+            rows = self._rows(grams[at:at + _BLOCK].tolist())
+            total += counts[at:at + _BLOCK].astype(np.float32) @ self.vectors[rows].astype(np.float32)
         length = float(np.linalg.norm(total))
         return total / length if length else None
 
 
-_spaces: dict[tuple[int, int], Space] = {}
-
-
 def space(dims: int, seed: int) -> Space:
-    if (dims, seed) not in _spaces:
-        _spaces[dims, seed] = Space(dims, seed)
-    return _spaces[dims, seed]
+    return held(("space", dims, seed), lambda: Space(dims, seed))
 
 
 @dataclass(frozen=True)
@@ -123,18 +129,20 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", dims: in
 
     sums = (rows.mapInArrow(bundle, "lang string, v array<double>")
             .select("lang", F.posexplode("v").alias("at", "x")).groupBy("lang", "at")
-            .agg(F.sum("x").alias("x")).collect())
-    names = tuple(sorted({r["lang"] for r in sums}))
-    table = np.zeros((len(names), dims))
-    for r in sums:
-        table[names.index(r["lang"]), r["at"]] = r["x"]
+            .agg(F.sum("x").alias("x")).groupBy("lang").agg(F.transform(
+                F.sort_array(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("v"))
+            .orderBy("lang").collect())  # one row a language
+    names = tuple(r["lang"] for r in sums)
+    table = np.array([r["v"] for r in sums]).reshape(len(names), dims)
     norms = np.linalg.norm(table, axis=1, keepdims=True)
     return Model(names, (table / np.where(norms > 0, norms, 1)).astype(np.float32), dims, seed)
 
 
 def predict(text, model: Model):
     """(lang_pred, score) of a text column: the nearest language, ties to the first by name, and
-    its cosine, negative ones as 0.  ``und`` and 0 for null, without letters or without a model."""
+    its cosine, negative ones as 0.  ``und`` and 0 for null, without letters (number signs such as
+    ``²`` or ``Ⅷ`` are none; marks belong to the letter before them) or without a model.  Whole
+    texts of any length count."""
 
     @F.arrow_udf("lang_pred string, score double")
     def made(texts: pa.Array) -> pa.Array:
@@ -152,22 +160,25 @@ def predict(text, model: Model):
 
 
 def learned(text, model: Model):
-    """False for texts without letters, and for those of ``ENOUGH`` distinct trigrams or more
-    whose cosine with each language is within its noise: of ``dims`` signs an unrelated text has
-    a cosine of 0 with a deviation of 1 / sqrt(dims), the greatest of k is sqrt(2 ln k) of those
-    higher, and three are allowed on top.  A model without languages tells nothing: all True."""
+    """False for null, for texts without letters, and for those that are in no learned language
+    beyond doubt.  Of ``dims`` signs an unrelated text has a cosine of 0 with a deviation of
+    1 / sqrt(dims); the greatest of k is sqrt(2 ln k) of those higher, and three are allowed on
+    top.  The cosine of a text of n distinct trigrams with its own language is uncertain too, by
+    about ``DOUBT`` / n: so much lower it has to lie.  The bar of a short text is below
+    any cosine.  A model without languages tells nothing: all True."""
     count = max(len(model.languages), 1)
-    bar = (3 + np.sqrt(2 * np.log(count))) / np.sqrt(model.dims)
+    noise = (3 + np.sqrt(2 * np.log(count))) / np.sqrt(model.dims)
 
     @F.arrow_udf("boolean")
     def made(texts: pa.Array) -> pa.Array:
         known, out = space(model.dims, model.seed), []
         for body in texts.to_pylist():
             found = known.trigrams(body) if model.languages else None
-            if found is None or len(found[0]) < ENOUGH:
-                out.append(not model.languages or found is not None)
+            if found is None:
+                out.append(not model.languages)
             else:
                 vector = known.bundle(*found)
+                bar = noise - DOUBT / len(found[0])
                 out.append(vector is not None and float((model.prototypes @ vector).max()) > bar)
         return pa.array(out, pa.bool_())
 

@@ -182,3 +182,16 @@ def test_bitmaps_never_miss(spark):
     packed = bitmap(keys, 1 << 12)
     assert keys.filter(maybe_in(F.col("id"), packed)).count() == 1000
     assert spark.range(10_000, 20_000).filter(maybe_in(F.col("id"), packed)).count() < 4_000
+
+
+def test_sketches_never_lose_a_shared_hash():
+    r = np.random.default_rng(9)
+    for n, m, both in [(0, 5, 0), (30, 28, 25), (300, 280, 260), (5_000, 4_300, 4_200), (900, 40, 40), (2_000, 2_000, 0)]:
+        common = r.integers(0, 1 << 63, both, np.uint64) << np.uint64(1)
+        x, y = (np.unique(np.concatenate([common, r.integers(0, 1 << 63, k - both, np.uint64) << np.uint64(1)]))
+                for k in (n, m))
+        most, sizes = set_join.shared_at_most(set_join.sketch(x), set_join.sketch(y))
+        assert sizes == len(x) + len(y) and most >= len(np.intersect1d(x, y))
+    assert 9 * most < 4 * 4_000  # unrelated sets have no room for a similarity of 0.8
+    heap = np.arange(70_000, dtype=np.uint64)  # all in one place: wider counts
+    assert set_join.shared_at_most(set_join.sketch(heap), set_join.sketch(heap)) == (70_000, 140_000)

@@ -4,7 +4,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from samples import docs, empty, rows, texts  # noqa: F401
+from samples import docs, empty, prose, rows, texts  # noqa: F401
 from larder.llm import chat, hash_forest, hyper_language, shards, templates
 
 
@@ -238,3 +238,27 @@ def test_a_hot_group_is_cut_and_small_groups_are_not(spark, empty):
     for _, part in got.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
     assert shards.shards(empty).count() == 0
+
+
+def test_number_signs_and_marks_are_no_letters():
+    space = hyper_language.Space(64, 1)
+    for text in ("² ½ ①", "Ⅷ", "12 ³", "́ ́", "_", "…", None, ""):
+        assert space.trigrams(text) is None
+    assert len(space.trigrams("हिन्दी")[0]) == len("हिन्दी")  # marks stay with their letters
+    assert space.trigrams("Été 2²")[0].tolist() == space.trigrams("été")[0].tolist()
+
+
+def test_the_language_bar_follows_the_evidence(spark):
+    """Unlearned texts go more surely the longer they are; clean ones stay at every length."""
+    learned = spark.createDataFrame([(prose(i, 60), "xx") for i in range(100)], "text string, lang string")
+    model = hyper_language.fit(learned)
+    r = np.random.default_rng(4)
+    noise = lambda n: "".join(chr(c) for c in r.integers(0x4e00, 0x9000, n))
+    table = spark.createDataFrame([(n, k, t) for n in (5, 36, 44, 400) for k in range(30) for t in (
+        prose(1000 + k, 100)[:n], noise(n)) if t.strip()], "n int, k int, text string")
+    clean = F.col("text").rlike("[a-z]")
+    kept = {(x["n"], x["clean"]): x["kept"] for x in table.groupBy("n", clean.alias("clean")).agg(
+        F.avg(hyper_language.learned(F.col("text"), model).cast("int")).alias("kept")).collect()}
+    assert all(kept[n, True] == 1 for n in (5, 36, 44, 400))
+    assert kept[5, False] == 1 and kept[400, False] == 0
+    assert abs(kept[36, False] - kept[44, False]) < 0.5  # no step at any length
