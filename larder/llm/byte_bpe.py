@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding by longest matches with backtracking, and decoding.
 
-Bytes are read as Latin-1 letters, so one automaton over letters finds for every place the
-longest token that starts there.  From the front the longest token is taken that fits its left
+Bytes are read as Latin-1 letters, so a trie of letters finds for every place that is reached
+the longest token that starts there.  From the front the longest token is taken that fits its left
 neighbour and does not end where the rest is known to be impossible; else a shorter one, else
 the last token is given back.  Every place is given up once at most, so a piece of any length
 takes linear time.  Two tokens fit if merging their bytes by rank gives just these two: a
@@ -39,23 +39,39 @@ def merged(ranks: dict[bytes, int], data: bytes) -> list[int]:
 
 
 class Codec:
+    """One table of the vocabulary's bytes, a trie of the tokens that merges can give, and what
+    was found out about neighbours, of bounded size."""
+
+    FITS, EDGES = 400_000, 16_000
+
     def __init__(self, path: str):
         import ahocorasick
 
         self.ranks = read_ranks(path)
-        self.bytes = {i: t for t, i in self.ranks.items()}
-        self.size = {i: len(t) for t, i in self.ranks.items()}
-        self.letters = {t.decode("latin-1"): i for t, i in self.ranks.items()}
-        self.matches = ahocorasick.Automaton()
-        made = {s: i for s, i in self.letters.items() if merged(self.ranks, self.bytes[i]) == [i]}
-        for s, i in made.items():  # a token that merges never give is only a whole piece
-            self.matches.add_word(s, i)
-        self.matches.make_automaton()
-        self.shorter = {i: next((made[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in made),
-                                None) for s, i in made.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.bytes = [b""] * (max(self.ranks.values(), default=-1) + 1)
+        for token, i in self.ranks.items():
+            self.bytes[i] = token
+        self.size = array("H", [len(t) for t in self.bytes])
+        self.longest = max(self.size, default=0)
+        # a token that merges never give is only a whole piece
+        self.unmade = {i for t, i in self.ranks.items() if merged(self.ranks, t) != [i]}
+        self.trie = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            if i not in self.unmade:
+                self.trie.add_word(token.decode("latin-1"), i)
+        self.shorter = {i: self.within(t[:-1]) for t, i in self.ranks.items() if i not in self.unmade}
+        self.fits: dict[int, bool] = {}
         self.edges: tuple[dict[int, list], dict[int, list]] = ({}, {})
 
+    def within(self, data: bytes) -> int:
+        """The longest token that ``data`` starts with, -1 for none."""
+        ranks, unmade = self.ranks, self.unmade
+        for n in range(len(data), 0, -1):
+            token = ranks.get(data[:n])
+            if token is not None and token not in unmade:
+                return token
+        return -1
+
     def edge(self, token: int, last: bool) -> list[tuple[bytes, int, float]]:
         """How the first (or last) part of a token grows while its bytes are merged: the part,
         and the levels at which it comes and goes.  A level is the highest rank merged so far:
@@ -73,6 +89,8 @@ class Codec:
             if parts[-1 if last else 0] != now:
                 out.append((now, since, level))
                 since, now = level, parts[-1 if last else 0]
+        if len(self.edges[last]) >= self.EDGES:
+            self.edges[last].clear()
         self.edges[last][token] = out = [*out, (now, since, float("inf"))]
         return out
 
@@ -94,44 +112,45 @@ class Codec:
             i, j = (i + 1, j) if x_to < y_to else (i, j + 1)
 
     def fit(self, a: int, b: int) -> bool:
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= 400_000:
-                self.fits.clear()
-            known = self.fits[a, b] = self.apart(a, b)
+        if len(self.fits) >= self.FITS:
+            self.fits.clear()
+        known = self.fits[a << 32 | b] = self.apart(a, b)
         return known
 
     def piece(self, data: bytes) -> list[int]:
         """The ids of one piece of the split pattern."""
-        text = data.decode("latin-1")
-        if (whole := self.letters.get(text)) is not None:
+        ranks = self.ranks
+        if (whole := ranks.get(data)) is not None:
             return [whole]
-        size, shorter, fits, fit = self.size, self.shorter, self.fits, self.fit
-        longest = [None] * len(text)
-        for end, token in self.matches.iter(text):
-            start = end + 1 - size[token]
-            held = longest[start]
-            if held is None or size[held] < size[token]:
-                longest[start] = token
-        out, at, dead, n = [], 0, bytearray(len(text) + 1), len(text)
-        token = longest[0] if n else None
+        text, n, longest, prefix = data.decode("latin-1"), len(data), self.longest, self.trie.longest_prefix
+        size, shorter, known, unmade = self.size, self.shorter, self.fits.get, self.unmade
+        out, at, dead, last = [], 0, bytearray(n + 1), -1
+        token = -2  # not looked for yet
         while at < n:
-            while token is not None:
-                if not dead[at + size[token]] and (not out or fits.get((out[-1], token))
-                                                   or fit(out[-1], token)):
-                    break
+            if token == -2:  # the trie knows how far a token's letters go on from here
+                end = at + prefix(text[at:at + longest])
+                token = ranks.get(data[at:end], -1)
+                if token < 0 or token in unmade:
+                    token = self.within(data[at:end - 1])
+            while token >= 0:
+                if not dead[at + size[token]]:
+                    if last < 0:
+                        break
+                    fits = known(last << 32 | token)
+                    if fits or fits is None and self.fit(last, token):
+                        break
                 token = shorter[token]
-            if token is None:
+            if token >= 0:
+                out.append(token)
+                at += size[token]
+                last, token = token, -2
+            else:
                 if not out:
                     raise ValueError("a byte without a token")
                 dead[at] = 1
                 token = out.pop()
                 at -= size[token]
-                token = shorter[token]
-            else:
-                out.append(token)
-                at += size[token]
-                token = longest[at] if at < n else None
+                last, token = out[-1] if out else -1, shorter[token]
         return out
 
 
@@ -157,7 +176,8 @@ class Pieces(Memo):
 
 def encode(text, ranks: str, pattern: str):
     """The ids (array of int) of a text column; null gives none.  Each match of ``pattern`` is
-    merged by itself; strings of special tokens are ordinary text."""
+    merged by itself; strings of special tokens are ordinary text.  A text of any length is one
+    row; a column expression, so rows, repeated or none, and other columns stay as they are."""
 
     @F.arrow_udf("array<int>")
     def made(texts: pa.Array) -> pa.Array:
