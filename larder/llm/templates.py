@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import bitmap, maybe_in, reachable, stored
+from larder.llm.common import bitmap, held, maybe_in, reachable, stored
 from larder.llm.substring import _BASES, rolling, runs
 
 #: Units of measure that follow a number.
@@ -72,20 +72,19 @@ def canonical(text: str, words: frozenset[str] | None = None
     return tokens, slots
 
 
-_known: dict[str, int] = {}
+class _Hashes(dict):
+    """Token to its hash; forgets all of them when there are too many."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        self[token] = made = xxhash.xxh3_64_intdigest(token)
+        return made
 
 
 def _hashes(tokens: list[str]) -> np.ndarray:
-    if len(_known) > 200_000:
-        _known.clear()
-    h, get = xxhash.xxh3_64_intdigest, _known.get
-    out = []
-    for t in tokens:
-        x = get(t)
-        if x is None:
-            x = _known[t] = h(t)
-        out.append(x)
-    return np.array(out, np.uint64)
+    known = held("template-hashes", _Hashes)
+    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
 
 
 def _lower(batches):
@@ -114,10 +113,10 @@ def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None
             if not tokens:
                 continue
             hashes, places = _hashes(tokens), [s[0] for s in slots]
-            plain = list(tokens)
-            for place, value in slots:
-                plain[place] = value
-            plain = _hashes(plain)
+            plain = hashes
+            if slots:
+                plain = hashes.copy()
+                plain[places] = _hashes([s[1] for s in slots])
             firm = np.ones(len(tokens), bool)
             firm[places] = False
             before, firm = np.concatenate(([0], np.cumsum(firm))), np.flatnonzero(firm)
@@ -135,11 +134,11 @@ def _windows(batches, width: int, fixed: int, seen: dict[int, np.ndarray] | None
                 longer = np.flatnonzero(whole & wide)
                 if len(longer):
                     h[longer] = runs(hashes, longer, end[longer])
-                exact = rolling(plain, n, _BASES[1])
                 exactly = np.flatnonzero(~whole if seen is None else wide | ~whole)
+                exact = rolling(plain, n, _BASES[1])[exactly] if len(exactly) else h[:0]
                 # equal values agree, so those windows need no slots: end is where they start
                 for at, h, end in ((start[whole], h[whole], end[whole]),
-                                   (exactly, exact[exactly], exactly)):
+                                   (exactly, exact, exactly)):
                     if seen is not None:
                         bit = (h & np.uint64(len(seen[n]) * 8 - 1)).astype(np.int64)
                         keep = (seen[n][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
@@ -182,7 +181,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     item's end are looked for with their values; a short item of slots alone is not looked for.
     ``changed`` counts the slots whose value differs.  Items shorter than ``width`` tokens are
     one window and are looked for at their own width.  Null texts match nothing; rows of one id
-    count as one document; the benchmark's equal texts count as one item each.
+    count as one document; the benchmark's equal texts count as one item each.  Whole texts of any
+    length are looked through; an empty table on either side gives no rows, other columns take no
+    part.  Of several occurrences the one with most windows counts, then that with fewer changes.
     """
     reachable(docs.sparkSession)
     asks = benchmark.filter(F.col(item_text).isNotNull() & F.col(item_id).isNotNull()).select(
