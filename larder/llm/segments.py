@@ -13,12 +13,16 @@ import os
 import re
 from array import array
 
+from larder.llm.common import held
+
 #: White space beyond ASCII, or characters on which libraries differ: such a text is cut nowhere.
 _UNSURE = re.compile(
     "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
 _SEGMENT = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: Texts of these hold nothing that normalizing changes, but for capitals.
 _LATIN = re.compile("[!-~À-ÖØ-öø-ÿ ]+")
+_LATIN_TEXT = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_MARK = re.compile("(?<=[a-zà-öø-ÿ])([,.;:!?])(?![^ \t\n\r])")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _MARKS = ",.;:!?"
 _LONGEST = 96
@@ -93,6 +97,10 @@ class Memo(dict):
         return self._whole(segment)
 
     def cut(self, text: str) -> list[str]:
+        """The text's segments.  Of a Latin text that case does not matter for, capitals and the
+        marks behind words are taken apart at once, so that a word has one entry."""
+        if self.lower and not self.spaced and _LATIN_TEXT.fullmatch(text) and "<|" not in text:
+            return _MARK.sub(r" \1", text.lower()).split()
         if _UNSURE.search(text):
             return [text]
         return _SEGMENT.findall(text) if self.spaced else text.split()
@@ -101,11 +109,6 @@ class Memo(dict):
         return b"".join(map(self.__getitem__, self.cut(text)))
 
 
-_memos: dict[tuple[type, str], Memo] = {}
-
-
 def memo(path: str, kind: type[Memo] = Memo) -> Memo:
-    """One memo per worker process and vocabulary."""
-    if (kind, path) not in _memos:
-        _memos[kind, path] = kind(path)
-    return _memos[kind, path]
+    """The worker's memo of a vocabulary."""
+    return held((kind.__name__, path), lambda: kind(path))

@@ -23,12 +23,14 @@ SCHEMA = "doc_id long, part int, before long, ids array<int>"
 def encoded(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text",
             end_id: int = 2) -> DataFrame:
     """``doc_id, part, before, ids``: the ids of each text and ``end_id``, ranges of ascending
-    ids. A null text is empty; a null id comes first; rows of one id go by their text's hash,
-    so that a very common id is dealt to many ranges too."""
+    ids.  A null text is empty; a null id comes first; rows of one id, repeated ones too, go by
+    their place in the input, so that a very common id is dealt to many ranges.  Ranges are
+    sampled from ids and places alone, texts are read once.  A text of any length is one row;
+    other columns are left out, and an empty table gives no rows."""
     reachable(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                       F.xxhash64(text).alias("h"))
-    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+                       F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
 
     def encode(batches):
         known, before, part = memo(tokenizer), 0, TaskContext.get().partitionId()
