@@ -12,7 +12,7 @@ gives one row per version with ``__START_AT`` and ``__END_AT`` (NULL while open)
 
 Skew.  Merging is an aggregation with a map-side half.  The steps that need order run in
 windows per (key, slice): a key with more than ``hot_rows`` changes has its time line cut
-into slices, so no task sorts more than about one slice.  What a slice must know about
+into slices of equal depth, so no task sorts more than about one slice.  What a slice must know about
 its neighbours (the state carried in, the start of the open version, the next change) is
 computed from one summary row per slice and joined back.  All keys below the limit have a
 single slice and no summary row.
@@ -23,13 +23,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder.functions.scalar import any_of
 
 START = "__START_AT"
 END = "__END_AT"
 HOT_ROWS = 5_000_000
+_SAMPLED = 256  # instants looked at for each slice of a hot key
 
 _KEY = "__key"  # the key columns as one never-NULL struct, so NULL keys join too
 _SLICE = "__slice"
@@ -94,41 +95,51 @@ def _last_values(attrs: Sequence[str], order: Column, ignore_nulls: bool) -> lis
     return [row[a].alias(a) for a in attrs]
 
 
-def _ordinal(df: DataFrame, name: str) -> Column | None:
-    """The sequence as a whole number, where it has one."""
-    kind, column = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return column.cast("bigint")
-    return None
-
-
 def _slices(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
     """Adds the slice number and whether the key is hot.
 
-    Counts and extremes are exact, so every evaluation cuts at the same points.  There
-    are at most (all rows / hot_rows) hot keys; adaptive execution sees how many.
+    A hot key's slices hold about ``hot_rows / 4`` instants each, whatever type the sequence has
+    and however its instants lie: they are cut at quantiles of a sample of its distinct instants.
+    The sample is chosen by hash, so every evaluation cuts at the same points.  There are at
+    most (all rows / hot_rows) hot keys; adaptive execution sees how many.
+    """
+    cuts = _cuts(changes, spec, hot_rows)
+    # which block of cuts, then which cut in it: far fewer comparisons a row than cuts
+    below = f"size(filter({{}}, x -> x <= `{spec.sequence_by}`))"
+    block = F.expr(below.format("transform(__cuts, c -> c[0])"))
+    placed = F.when(F.col("__block") > 0, F.expr(
+        f"(__block - 1) * size(__cuts[0]) + {below.format('__cuts[__block - 1]')}"))
+    return changes.join(cuts, _KEY, "left").withColumn(
+        "__block", F.when(F.col("__cuts").isNotNull(), block)).withColumns({
+            _SLICE: F.coalesce(placed, F.lit(0)).cast("bigint"),
+            _HOT: F.col("__cuts").isNotNull(),
+        }).drop("__cuts", "__block")
+
+
+def _cuts(changes: DataFrame, spec: Spec, hot_rows: int) -> DataFrame:
+    """The instants at which hot keys' slices begin, ascending, in blocks of equal length.
+
+    Keys with one slice only are left out.
     """
-    position = _ordinal(changes, spec.sequence_by)
-    if position is None:
-        return changes.withColumns({_SLICE: F.lit(0).cast("bigint"), _HOT: F.lit(False)})
-    hot = (
-        changes.select(_KEY, position.alias("__at"))
-        .groupBy(_KEY)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__lo"),
-             F.max("__at").alias("__hi"))
-        .where(F.col("__n") > hot_rows)
-        .select(_KEY, "__lo", F.expr(f"""
-            1 + (__hi - __lo) div (1 + __n div {max(1, hot_rows // 4)})""").alias("__width"))
-    )
-    placed = F.floor((position - F.col("__lo")) / F.col("__width"))
-    return changes.join(hot, _KEY, "left").withColumns({
-        _SLICE: F.coalesce(placed, F.lit(0)).cast("bigint"),
-        _HOT: F.col("__width").isNotNull(),
-    }).drop("__lo", "__width")
+    depth = max(1, hot_rows // 4)
+    one_in = max(1, depth // _SAMPLED)
+    hot = changes.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n")).where(
+        F.col("__n") > hot_rows).select(_KEY)
+    instants = changes.select(_KEY, F.col(spec.sequence_by).alias("__at")).where(
+        "__at is not null").where(F.pmod(F.xxhash64("__at"), F.lit(one_in)) == 0).join(
+        hot, _KEY, "left_semi").distinct()
+    whole = Window.partitionBy(_KEY)
+    slices = F.expr(f"greatest(1, __n div {max(1, depth // one_in)})")
+    begins = instants.withColumns({
+        "__n": F.count(F.lit(1)).over(whole),
+        "__rank": F.row_number().over(whole.orderBy("__at")) - 1,
+    }).withColumn("__of", F.floor(F.col("__rank") * slices / F.col("__n"))).where(
+        "__of > 0").groupBy(_KEY, "__of").agg(F.min("__at").alias("__at"))
+    listed = begins.groupBy(_KEY).agg(F.sort_array(F.collect_list("__at")).alias("__all")).withColumn(
+        "__wide", F.ceil(F.sqrt(F.size("__all"))).cast("int"))
+    return listed.select(_KEY, F.expr("""
+        transform(sequence(0, (size(__all) - 1) div __wide),
+                  i -> slice(__all, CAST(i * __wide + 1 AS INT), __wide))""").alias("__cuts"))
 
 
 def _one_per_instant(sliced: DataFrame, spec: Spec, attrs: Sequence[str]) -> DataFrame:

@@ -98,6 +98,31 @@ def test_integer_and_date_sequences(spark):
     assert {(r[scd2.START], r[scd2.END]) for r in by_number.where("v = 4").collect()} == {(12, 15)}
 
 
+BURST = ["id", "CASE WHEN id % 10 = 0 THEN id * 1000000 ELSE 5000000000 + id END AS at"]
+
+
+@pytest.mark.parametrize("hot_rows", [400, 4_000])
+@pytest.mark.parametrize("kind", ["BIGINT", "STRING", "DECIMAL(30,3)", "TIMESTAMP", "DOUBLE"])
+def test_slices_of_a_burst_have_equal_depth(spark, kind, hot_rows):
+    """Nine changes in ten lie in a millionth of the time line."""
+    cast = {"STRING": "lpad(CAST(at AS STRING), 15, '0')",
+            "TIMESTAMP": "timestamp_micros(at)"}.get(kind, f"CAST(at AS {kind})")
+    df = spark.range(20_000).selectExpr(*BURST).selectExpr(
+        "IF(id % 1000 = 0, 'cold', 'hot') AS k", f"{cast} AS at", "id DIV 7 % 3 AS v")
+    spec = scd2.Spec(["k"], "at", ["v"])
+    keyed = df.withColumn(scd2._KEY, F.struct("k"))
+    sliced = scd2._slices(keyed, spec, hot_rows).groupBy("k", scd2._SLICE, scd2._HOT).agg(
+        F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
+    hot = sorted((r for r in sliced if r.k == "hot"), key=lambda r: r[scd2._SLICE])
+    assert len(hot) >= 19_980 * 4 // hot_rows // 2 and all(r[scd2._HOT] for r in hot)
+    assert max(r.n for r in hot) <= 2 * min(r.n for r in hot)
+    assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
+    assert [(r[scd2._SLICE], r[scd2._HOT]) for r in sliced if r.k == "cold"] == [(0, False)]
+    if hot_rows == 4_000:
+        whole, cut = (scd2.history(df, spec, n) for n in (1 << 30, hot_rows))
+        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+
+
 def test_the_feed_is_shuffled_twice_and_summaries_read_hot_keys_only(spark):
     df = spark.createDataFrame(feed(1, 50, ["k1"], 100), SCHEMA)
     spec = scd2.Spec(["k"], "at", ["a"], tie_break=["pos"])
