@@ -10,14 +10,14 @@ from acceptance.feeds import CLOCK, REGION, Lake, moment, plain
 from acceptance.landing import (bronze_files, corrupt_lines, reconciled_files,
                                 streamed_evolution, streamed_expectations, streamed_facts,
                                 streamed_rescue, streamed_row_counts, evolving_folder, landed_lineage,
-                                late_orders, logged, streamed_documents, streamed_history,
+                                late_orders, logged, refreshed, streamed_documents, streamed_history,
                                 streamed_inventory, streamed_orders, streamed_split,
                                 streamed_topic, text_columns)
 from acceptance.oracle import _CLOCK, _NOW, _RULES, _n, _reason, _round2, _total, _verdict, query
 from larder.functions.money import exact_sum
 from larder.functions.scalar import full_name, minute_of, parse_date, upper_case
 from larder.operators import audit, checks, quality, scd2
-from larder.plans import gold, ops, secure, silver
+from larder.plans import gold, incremental, ops, secure, silver
 from larder.sources import lineage
 
 Answer = Callable[[Lake], DataFrame]
@@ -338,6 +338,21 @@ add("agg_store_performance",
     "SELECT * FROM a_stores")
 add("agg_return_kpi", lambda lake: gold.agg_return_kpi(lake.sales, lake.returned),
     "SELECT * FROM a_returns")
+add("refresh_incremental_fact_sales",
+    lambda lake: incremental.table(lake.spark, refreshed(lake), "fact_sales"),
+    "SELECT * FROM g_sales")
+add("refresh_incremental_daily",
+    lambda lake: incremental.agg_daily_sales(lake.spark, refreshed(lake), lake.dim_store),
+    "SELECT * FROM a_daily")
+add("refresh_incremental_monthly",
+    lambda lake: incremental.agg_monthly_sales(lake.spark, refreshed(lake)),
+    "SELECT * FROM a_monthly")
+add("refresh_incremental_stores",
+    lambda lake: incremental.agg_store_performance(lake.spark, refreshed(lake)),
+    "SELECT * FROM a_stores")
+add("refresh_incremental_returns",
+    lambda lake: incremental.agg_return_kpi(lake.spark, refreshed(lake)),
+    "SELECT * FROM a_returns")
 
 
 # -- secured views -----------------------------------------------------------------

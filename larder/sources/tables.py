@@ -20,8 +20,9 @@ def parquet_stream(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Write a recomputed table.
+def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
+              dynamic: bool = False) -> None:
+    """Write a recomputed table, with ``dynamic`` only the partitions that ``df`` has rows of.
 
     Partitioned output is shuffled by the partition columns with a rebalance first:
     adaptive execution then splits big partitions and merges small ones, so neither one
@@ -30,4 +31,6 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
     writer = df
     if partition_by:
         writer = df.hint("rebalance", *partition_by)
-    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    writer.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(
+        *partition_by).parquet(path)
