@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
@@ -38,6 +39,8 @@ def reachable(spark: SparkSession) -> None:
 
 
 _held: dict = {}
+#: Gives freed memory back to the system, where the C library can.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def held(name, make):
@@ -57,6 +60,9 @@ def forget() -> None:
     if _held:
         _held.clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

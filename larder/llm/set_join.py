@@ -127,6 +127,29 @@ def _verified(batches, width: int, num: int, den: int):
                                "same": pa.array(same, pa.bool_())})
 
 
+def judged(pairs: DataFrame, first: DataFrame, own: DataFrame, width: int,
+           least: tuple[int, int], label: str) -> DataFrame:
+    """``a, b, same``: the pairs that sketches leave, each judged by its texts' shingles.
+
+    ``first`` has ``node, key, sketch`` of every set, ``own`` the texts by ``key``."""
+    num, den = least
+    seen_of = lambda end, name: first.select(F.col("node").alias(end), F.col("sketch").alias(name))
+    pairs = stored(pairs.join(seen_of("a", "x"), "a").join(seen_of("b", "y"), "b").select(
+        "a", "b", "x", "y").mapInArrow(lambda b: _rough(b, num, den), "a long, b long"), f"{label}-pairs")
+    ends = pairs.select(F.col("a").alias("of")).unionByName(
+        pairs.select(F.col("b").alias("of"))).distinct()
+    needs = stored(first.join(ends, F.col("node") == F.col("of")).select(
+        "node", F.col("key").alias("_needs")), f"{label}-needs")
+    bodies = stored(own.filter(maybe_in(F.col("key"), bitmap(needs.select("_needs")))).join(
+        needs, F.col("key") == F.col("_needs")).select("node", "text").dropDuplicates(["node"]),
+        f"{label}-texts")
+    return stored(
+        pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+        .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        .select("a", "b", "x", "y").mapInArrow(
+            lambda b: _verified(b, width, num, den), "a long, b long, same boolean"), label)
+
+
 def groups(docs: DataFrame, width: int = 5, least: tuple[int, int] = (4, 5), *,
            doc_id: str = "doc_id", text: str = "text", key=None) -> DataFrame:
     """``doc_id, key, component_id`` per row: the smallest doc_id that pairs of a similarity of
@@ -161,23 +184,6 @@ def groups(docs: DataFrame, width: int = 5, least: tuple[int, int] = (4, 5), *,
                             ).select(F.least("node", "node2").alias("a"),
                                      F.greatest("node", "node2").alias("b")).distinct()
 
-    def judged(pairs: DataFrame, label: str) -> DataFrame:
-        seen_of = lambda end, name: first.select(F.col("node").alias(end), F.col("sketch").alias(name))
-        pairs = stored(pairs.join(seen_of("a", "x"), "a").join(seen_of("b", "y"), "b").select(
-            "a", "b", "x", "y").mapInArrow(lambda b: _rough(b, num, den), "a long, b long"), f"{label}-pairs")
-        ends = pairs.select(F.col("a").alias("of")).unionByName(
-            pairs.select(F.col("b").alias("of"))).distinct()
-        needs = stored(first.join(ends, F.col("node") == F.col("of")).select(
-            "node", F.col("key").alias("_needs")), f"{label}-needs")
-        bodies = stored(own.filter(maybe_in(F.col("key"), bitmap(needs.select("_needs")))).join(
-            needs, F.col("key") == F.col("_needs")).select("node", "text").dropDuplicates(["node"]),
-            f"{label}-texts")
-        return stored(
-            pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-            .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(
-                lambda b: _verified(b, width, num, den), "a long, b long, same boolean"), label)
-
     seen, now = None, buckets.withColumn("root", F.col("node"))
     for turn in range(PIVOTS + 1):
         by_root = now.groupBy("h", "root").agg(F.count("*").alias("c"))
@@ -204,7 +210,7 @@ def groups(docs: DataFrame, width: int = 5, least: tuple[int, int] = (4, 5), *,
         pairs = possible(pairs)
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        new = judged(pairs, "shingle-judged")
+        new = judged(pairs, first, own, width, least, "shingle-judged")
         seen = new if seen is None else seen.unionByName(new)
         if last:
             break

@@ -113,6 +113,43 @@ def test_groups_of_near_copies_equal_all_pairs(spark, monkeypatch, a_row):
     assert got == dict(enumerate(root.tolist())) and 10 < len(set(got.values())) < len(texts) - 10
 
 
+@pytest.mark.parametrize("large, forests", [(8192, 4), (16, 0), (16, 1)])
+def test_near_copies_share_a_block_and_are_verified(spark, monkeypatch, large, forests):
+    """Links are pairs of the similarity whose fingerprints meet in a block, whatever the rounds."""
+    monkeypatch.setattr(simhash, "LARGE_VERIFIED", large)
+    monkeypatch.setattr(simhash, "COUNTED", 1)
+    monkeypatch.setattr(simhash, "FORESTS", forests)
+    r, texts, blocks = np.random.default_rng(5), [prose(62, 90), "a b", "A  b", None, " "], simhash.Blocks(64, 4, views=6)
+    for i in range(70):
+        words = texts[int(r.integers(5, len(texts))) if i % 2 and i > 5 else 0].split()
+        for at in r.integers(0, len(words), r.integers(1, 5)):
+            words[at] = f"e{i}"
+        texts.append(" ".join(words))
+    sets = [set_join.shingles((t or "").encode(), 5) for t in texts]
+    fps = np.array([simhash._bits(s, 4) for s in sets], np.uint64)
+    keys, root, a, b = blocks.keys(fps), np.arange(len(texts)), [], []
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            alike = 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both)
+            if alike and (keys[i] == keys[j]).any() and np.bitwise_count(fps[i] ^ fps[j]).sum() <= 64:
+                a.append(i)
+                b.append(j)
+    simhash._join(root, np.array(a), np.array(b))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x["doc_id"]: x["component_id"] for x in simhash.groups(docs, 5, blocks, least=(4, 5)).collect()}
+    assert got == dict(enumerate(root.tolist())) and 3 < len(set(got.values())) < 60
+
+
+def test_near_copies_are_found_by_fingerprints(spark, monkeypatch):
+    import corpus_pipeline
+
+    texts = [(t := prose(63, 120)), t + " end", prose(64, 120)]
+    assert _gone(spark, texts) == {1}
+    monkeypatch.setattr(corpus_pipeline, "NEAR_BLOCKS", simhash.Blocks(distance=0, words=4))
+    assert _gone(spark, [t, t + " " + prose(65, 12)]) == set()
+
+
 def test_components_of_a_chain_a_star_and_a_loop(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299)]
     got = {r["node"]: r["root"] for r in components(
