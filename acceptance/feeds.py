@@ -395,3 +395,18 @@ class Lake:
     @cached_property
     def returned(self) -> DataFrame:
         return self._stored("fact-returns", self.fact_returns)
+
+    def gold_tables(self, *read: str) -> dict[str, DataFrame]:
+        """Facts and dimensions by name: stored those that are ``read``, of others the plan."""
+        stored = {
+            "fact_sales": lambda: self.sales, "fact_returns": lambda: self.returned,
+            "dim_store": lambda: self.dim_store, "dim_customer": lambda: self.dim_customer,
+            "dim_product": lambda: self.dim_product}
+        plans = {
+            "fact_sales": lambda: gold.fact_sales(self.valid("transactions"), self.valid("orders"),
+                                                  self.latest("products")),
+            "fact_returns": lambda: gold.fact_returns(self.silver_returns, self.latest("products")),
+            "dim_store": lambda: gold.dim_store(self.latest("stores"), self.silver_regions),
+            "dim_customer": lambda: gold.dim_customer(self.latest("customers")),
+            "dim_product": lambda: gold.dim_product(self.latest("products"))}
+        return {name: (stored if name in read else plans)[name]() for name in plans}
