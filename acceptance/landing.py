@@ -188,14 +188,22 @@ def streamed_facts(lake: Lake, table: str) -> DataFrame:
     return plain(facts.read(spark, f"{base}/out").drop("l_orderkey", "l_linenumber"))
 
 
+#: Sale lines to a landed file, about.
+FILE_ROWS = 500_000
+
+
 def watched(lake: Lake) -> DataFrame:
-    """The log of a stream over three files, each one micro-batch, started again once."""
+    """The log of a stream over three micro-batches, started again for two more.
+
+    Each micro-batch has as many files as it takes to keep them, and the tasks that read them, small.
+    """
     spark, base = lake.spark, work_dir(lake.spark, "watched")
+    files = max(1, lake.table("lineitem").count() // (2 * FILE_ROWS))
     rows = lake.silver_transactions.drop("l_orderkey", "l_linenumber")
     with Watch(spark, f"{base}/log") as watch:
         for n in range(2):
-            rows.repartition(3 - n).write.mode("append").parquet(f"{base}/in")
-            stream = watch.observed(tables.parquet_stream(spark, f"{base}/in", 1), "silver", "transactions")
+            rows.repartition((3 - n) * files).write.mode("append").parquet(f"{base}/in")
+            stream = watch.observed(tables.parquet_stream(spark, f"{base}/in", files), "silver", "transactions")
             jobs.run_append(stream, f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/log")
 

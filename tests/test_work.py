@@ -33,3 +33,15 @@ def test_a_secured_view_stores_only_what_it_reads(spark, query, kept):
     lake = SmallLake(spark, customer=[(1, "c", 0, 1.0, "M")], nation=[(0, "N", 0)], region=[(0, "R")])
     assert QUERIES[query](lake).count() == int("customer" in query)
     assert sorted(lake.kept) == kept
+
+
+def test_a_watched_micro_batch_has_several_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(landing, "FILE_ROWS", 10)
+    monkeypatch.setattr(landing, "work_dir", lambda spark, label: f"{tmp_path}/{label}")
+    lake = SmallLake(
+        spark, lineitem=[(i, 7 + i, 3, 1, 5.0, 1.0, 0.0, 0.0, "N", "O", AT) for i in range(1, 81)],
+        orders=[(i, i, "O", 1.0, AT, "1") for i in range(1, 81)])
+    rows = lake.silver_transactions.count()
+    found = landing.streamed_row_counts(lake).collect()
+    assert [(r["n_batches"], r["n_events"], r["rows_out"]) for r in found] == [(5, 5, 2 * rows)]
+    assert sum(f.endswith(".parquet") for f in os.listdir(tmp_path / "watched" / "in")) == 4 * 5
