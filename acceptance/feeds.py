@@ -21,6 +21,7 @@ CLOCK = "2024-02-01 00:00:00"       # stands in for the current time
 AS_OF = "2024-01-23 00:00:00"       # operations queries look back from here ...
 LOOKBACK_DAYS = 15                  # ... so that events on both ends are left out
 LOOKBACK = f"{LOOKBACK_DAYS} days"
+DEALT = 50_000                      # rows of a table that one task widens into documents
 REGION = "Asia"                     # the region with its own managers
 
 # The tables' schemas, stated so that opening one needs no job.
@@ -68,6 +69,17 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """The table over so many tasks that each has ``DEALT`` rows or so.
+
+        For feeds whose rows are far wider than the table's: one split of a compressed file may
+        hold a million rows, whose documents one task would then build and sort.
+        """
+        rows = self.table(name)
+        tasks = -(-rows.count() // DEALT)
+        # by all columns: dealt round robin they would be sorted first, in the tasks that read them
+        return rows.repartition(tasks, *rows.columns) if tasks > 1 else rows
+
     # -- feeds ---------------------------------------------------------------------
 
     @cached_property
@@ -114,7 +126,7 @@ class Lake:
         nations = self.table("nation").select("n_nationkey", "n_name")
         revised = self.table("supplier").selectExpr(
             "*", "explode(sequence(1, 1 + CAST(s_suppkey % 4 AS INT))) AS rev")
-        return revised.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        return revised.join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
             "rev", "CAST(s_suppkey AS STRING) AS store_id",
             "CAST((s_nationkey + rev div 3) % 25 AS STRING) AS region_id",
             "concat('  ', s_name, IF(rev > 3, ' II', ''), ' ') AS store_name",
@@ -148,7 +160,7 @@ class Lake:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._documents(self.table("part").selectExpr(
+        return self._documents(self.dealt("part").selectExpr(
             "*", "explode(sequence(1, 1 + CAST(p_partkey % 3 AS INT))) AS rev").selectExpr(
             "rev", "CAST(p_partkey AS STRING) AS _id",
             "CASE WHEN rev = 1 OR (p_partkey + rev) % 5 <> 0 THEN p_brand END AS product_brand",
@@ -165,9 +177,10 @@ class Lake:
         nations, regions = self.table("nation"), self.table("region")
         places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
             "n_nationkey", "n_name", "r_name")
-        revised = self.table("customer").selectExpr(
+        revised = self.dealt("customer").selectExpr(
             "*", "explode(sequence(1, 1 + CAST(c_custkey % 4 AS INT))) AS rev")
-        joined = revised.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        # the hint: by the size of their file the customers may pass for the smaller side
+        joined = revised.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
         return self._documents(joined.selectExpr(
             "rev", "CAST(c_custkey AS STRING) AS _id",
             "c_custkey * 1000 AS customer_acct_num", "c_mktsegment AS first_name",

@@ -45,3 +45,11 @@ def test_a_watched_micro_batch_has_several_files(spark, monkeypatch, tmp_path):
     found = landing.streamed_row_counts(lake).collect()
     assert [(r["n_batches"], r["n_events"], r["rows_out"]) for r in found] == [(5, 5, 2 * rows)]
     assert sum(f.endswith(".parquet") for f in os.listdir(tmp_path / "watched" / "in")) == 4 * 5
+
+
+def test_a_table_to_be_widened_is_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "DEALT", 10)
+    rows = [(i % 9 or None, f"c{i}", 0, 1.0, "M") for i in range(95)]
+    made = SmallLake(spark, customer=rows).dealt("customer")
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, rows))
+    assert made.rdd.getNumPartitions() == 10
