@@ -31,6 +31,33 @@ def build(app: str = "larder", master: str | None = None, **extra: str) -> Spark
     return builder.getOrCreate()
 
 
+#: Bytes of a stored table that a task reads at once, and of a shuffle that a task takes.
+TASK_BYTES = 32 * 2 ** 20
+#: Bytes of stored input to a first shuffle partition; adaptive execution puts small ones together.
+PARTITION_BYTES = 4 * 2 ** 20
+
+
+def sized(spark: SparkSession, folder: str) -> int:
+    """Lets the number of tasks grow with the tables in ``folder``, and not the memory of one.
+
+    A fixed number of shuffle partitions gives each task its share of the input, however large.
+    Here shuffles start with partitions by the input's size, the session's own number at least.  Task
+    sizes that the session states itself are kept.  Streams keep their number of state stores.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    # each entry by what it points to: a folder's own summary has links at the length of their names
+    found = sum(files.getContentSummary(status.getPath()).getLength()
+                for status in files.listStatus(place))
+    first = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found // PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", first)
+    for name in ("spark.sql.files.maxPartitionBytes",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, TASK_BYTES)
+    return first
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory below the cluster's shared checkpoint folder.
 

@@ -5,8 +5,10 @@ from datetime import datetime
 
 import pytest
 
+import __spark_entry__
 from acceptance import feeds, landing
 from acceptance.registry import QUERIES
+from larder import session
 
 AT = datetime(2001, 5, 6)
 
@@ -53,3 +55,26 @@ def test_a_table_to_be_widened_is_dealt_over_tasks(spark, monkeypatch):
     made = SmallLake(spark, customer=rows).dealt("customer")
     assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, rows))
     assert made.rdd.getNumPartitions() == 10
+
+
+def test_first_shuffle_partitions_grow_with_the_stored_input(spark, monkeypatch, tmp_path):
+    stated = "spark.sql.files.maxPartitionBytes"
+    set_here = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {name: spark.conf.get(name, None) for name in (*set_here, stated)}
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    spark.conf.set(stated, "7m")
+    try:
+        for name, size, partitions in (("a", 900, 4), ("b", 12_000, 13), ("c", 0, 25)):
+            if size:
+                (tmp_path / name).write_bytes(b"x" * size)
+            else:  # a link counts as what it points to
+                (tmp_path / name).symlink_to(tmp_path / "b")
+            monkeypatch.setattr(__spark_entry__, "_open", [])
+            __spark_entry__._lake(spark, str(tmp_path))
+            shown = [int(spark.conf.get(name).removesuffix("b")) for name in set_here]
+            assert shown == [partitions, session.TASK_BYTES]
+        assert spark.conf.get(stated) == "7m"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
