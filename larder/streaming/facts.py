@@ -14,7 +14,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from larder.functions.scalar import all_of
 from larder.operators import quality
 from larder.operators.dedup import keep_first
 from larder.plans import silver
@@ -22,6 +21,7 @@ from larder.streaming.jobs import run_batches
 
 #: Partition columns of the landed table.
 PERIOD, BATCH = "_period", "_landed_batch"
+_KEY = "_key"
 GRAINS = {"day": lambda date: date.cast("date"), "month": lambda date: F.trunc(date, "MONTH")}
 DATES = {"transactions": "transaction_date", "returns": "return_date"}
 
@@ -82,14 +82,18 @@ def landed_keys(spark: SparkSession, path: str, schema: T.StructType, keys: Sequ
 
 def unseen(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], date: str,
            order_by: Sequence[str | Column] = (), grain: str = "day") -> DataFrame:
-    """One row for each key of the batch that no earlier batch landed; NULL keys are equal."""
-    first = keep_first(batch, keys, order_by or [F.struct(*batch.columns)])
+    """One row for each key of the batch that no earlier batch landed; NULL keys are equal.
+
+    The key is one struct, whose equal NULL fields match, in both steps: rows that were shuffled and
+    sorted by it to find the first of each key meet the landed keys where they are.
+    """
+    key = F.struct(*keys).alias(_KEY)
+    first = keep_first(batch.select("*", key), [_KEY], order_by or [F.struct(*batch.columns)])
     periods = batch.select(GRAINS[grain](F.col(date)).alias(PERIOD)).distinct()
     seen = landed_keys(batch.sparkSession, path, batch.schema, keys, periods, batch_id)
-    if seen is None:
-        return first
-    same = all_of(F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys)
-    return first.alias("n").join(seen.alias("s"), same, "left_anti")
+    if seen is not None:
+        first = first.join(seen.select(key), _KEY, "left_anti")
+    return first.select(*batch.columns)
 
 
 def land(rows: DataFrame, batch_id: int, path: str, date: str, grain: str = "day") -> None:

@@ -62,6 +62,25 @@ def test_a_batch_reads_its_own_dates_and_can_be_repeated(spark, tmp_path):
     assert seen.count() == 5
 
 
+def test_a_batch_is_shuffled_once_to_find_its_new_keys(spark, tmp_path):
+    path, keys = f"{tmp_path}/out", list(silver.KEYS["transactions"])
+
+    def batch(*made):
+        return silver.conform_csv(spark.createDataFrame(list(made), SCHEMA), "transactions")
+
+    old = [("1", None, "5", "1/1/2024", "1"), (None, None, None, "bad", "2"), ("", "9", "5", "1/1/2024", "3")]
+    facts.land(batch(*old), 0, path, "transaction_date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = facts.unseen(batch(*old, ("1", "", "5", "1/1/2024", "4"), ("1", "", "5", "1/1/2024", "5"),
+                                 (None, "9", "5", "1/1/2024", "6")), 1, path, keys, "transaction_date")
+        assert sorted(r["quantity"] for r in new.collect()) == [4, 6]
+        plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") == 2  # the batch and the landed keys
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_the_watch_logs_each_batch_once(spark, tmp_path):
     rules = {"id": "order_id IS NOT NULL", "qty": "quantity > 0"}
     log = f"{tmp_path}/log"
