@@ -67,7 +67,10 @@ def runs(h: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASES[0
     """The same hash of the runs of words from ``start`` to ``end``."""
     up, down = _power(base, len(h) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[:-1], dtype=np.uint64)))
-    x = (sums[end] - sums[start]) * down[start]
+    return mixed((sums[end] - sums[start]) * down[start])
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         x = (x ^ x >> np.uint64(shift)) * np.uint64(factor)
     return x ^ x >> np.uint64(33)

@@ -262,3 +262,32 @@ def test_the_language_bar_follows_the_evidence(spark):
     assert all(kept[n, True] == 1 for n in (5, 36, 44, 400))
     assert kept[5, False] == 1 and kept[400, False] == 0
     assert abs(kept[36, False] - kept[44, False]) < 0.5  # no step at any length
+
+
+def test_templates_cut_as_the_pattern_does():
+    """Odd characters too, whose lower case is longer or depends on what follows."""
+    for text in ("1.2.3 and 1..2 or 1:2, a'b'c 'd", "ΛΟΓΟΣ λόγος ΣΑΣ İstanbul is İn", "x² ² ½ ٣ km 5 KM two\nAnn"):
+        tokens, slots = templates.canonical(text, frozenset(["ann"]))
+        words = [w.lower() for w in templates._TOKEN.findall(text) if w[0] not in ".!?\n"]
+        values = dict(slots)
+        assert [values.get(i, t) for i, t in enumerate(tokens)] == words
+    known = templates._Words(frozenset())
+    hashes = [templates._template(t, known)[2] for t in ("ΛΟΓΟΣ İX the", "λογος i̇x The", "λογοσ ix THE")]
+    assert hashes[0][0] == hashes[1][0] != hashes[2][0] and hashes[0][-1] == hashes[1][-1] == hashes[2][-1]
+
+
+def test_templates_look_at_characters_not_at_each_word(monkeypatch):
+    """A word that never came before costs no Python call of its own."""
+    import sys
+    known, calls = templates._Words(frozenset()), [0]
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    text = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{chr(97 + i // 100)}x" for i in range(2000))
+    sys.setprofile(count)
+    try:
+        assert len(templates._template(text, known)[2]) == 2000
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < 500
