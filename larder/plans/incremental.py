@@ -22,14 +22,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from larder.functions.money import exact_sum
 from larder.plans import gold
 from larder.session import work_dir
 from larder.sources.tables import overwrite
 
-_FILLER, _PART = "_filler", "_part"
+_FILLER, _PART, _SLICE = "_filler", "_part", "_slice"
+_SLICED = (_PART, _SLICE, _FILLER)
 _MONEY = ("total_revenue", "total_cost", "total_profit")
 _SUMS = ", ".join(f"{name} DOUBLE" for name in _MONEY)
 
@@ -70,38 +72,38 @@ def refresh(spark: SparkSession, path: str, *, sales: DataFrame, returns: DataFr
         raise ValueError(f"by is day or month, not {by}")
     unit = (lambda date: F.trunc(date, "MM")) if by == "month" else F.col
     sold, back = (_kept(spark, days, unit) for days in (sale_days, return_days))
-    months = sold.select(F.trunc("day", "MM").alias("day")).distinct()
-
-    def of(name: str, days: DataFrame) -> DataFrame:
-        return _on_days(_stored(spark, path, name), F.col(_PART), days)
-
-    def replace(name: str, rows: DataFrame, days: DataFrame) -> None:
-        _replace(path, name, rows.withColumn(_PART, unit(TABLES[name][0])), days)
-
-    replace("fact_sales", _on_days(sales, unit("transaction_date"), sold), sold)
-    replace("fact_returns", _on_days(returns, unit("return_date"), back), back)
-
-    brands = products.select(F.col("product_id").cast("string").alias("product_id"),
-                             "product_brand")
-    parts = of("fact_sales", sold).groupBy("transaction_date", "store_id", "product_id").agg(
-        F.sum("quantity").alias("quantity"), *(exact_sum(c).alias(c) for c in _MONEY),
-        F.count(F.lit(1)).alias("lines")).join(brands, "product_id", "left")
-    replace("sales_parts", parts, sold)
-    buyers = of("fact_sales", sold).where("customer_id is not null").join(
-        brands, "product_id", "left").select(
-        "transaction_date", "store_id", "product_brand", "customer_id").distinct()
-    replace("buyers", buyers, sold)
-    replace("returns_parts", of("fact_returns", back).groupBy(
-        "return_date", "store_id", "product_id").agg(
-        F.sum("return_quantity").alias("return_quantity")), back)
-
-    replace("daily", _merged(
-        of("sales_parts", sold), of("buyers", sold), ["transaction_date", "store_id"]), sold)
-    replace("monthly", _merged(
-        *(_on_days(_stored(spark, path, name), F.trunc(_PART, "MM"), months).withColumn(
-            "month_start", F.trunc("transaction_date", "MM"))
-          for name in ("sales_parts", "buyers")),
-        ["month_start", "store_id", "product_brand"]), months)
+
+    dealt = _dealt(_branded(_on_days(sales, unit("transaction_date"), sold), products), sold,
+                   unit("transaction_date"))
+    try:
+        _put(path, "fact_sales", dealt.where(F.coalesce("_copy", F.lit(1)) == 1))
+        _put(path, "sales_parts", dealt.groupBy(
+            *_SLICED, "transaction_date", "store_id", "product_id", "product_brand").agg(
+            F.sum("quantity").alias("quantity"), *(exact_sum(c).alias(c) for c in _MONEY),
+            F.count(F.lit(1)).alias("lines")))
+        _put(path, "buyers", dealt.where(F.col(_FILLER) | F.col("customer_id").isNotNull()).select(
+            *_SLICED, "transaction_date", "store_id", "product_brand", "customer_id").distinct())
+        _put(path, "daily", _totals(dealt, "transaction_date", "store_id"))
+        if by == "month":
+            _put(path, "monthly", _totals(dealt.withColumn(
+                "month_start", F.trunc("transaction_date", "MM")), "month_start", "store_id", "product_brand"))
+    finally:
+        dealt.unpersist()
+    if by == "day":
+        months = sold.select(F.trunc("day", "MM").alias("day")).distinct()
+        made = _merged(*(_on_days(_stored(spark, path, name), F.trunc(_PART, "MM"), months).withColumn(
+            "month_start", F.trunc("transaction_date", "MM")) for name in ("sales_parts", "buyers")),
+            ["month_start", "store_id", "product_brand"])
+        _replace(path, "monthly", made.withColumn(_PART, F.col("month_start")), months)
+
+    dealt = _dealt(_on_days(returns, unit("return_date"), back), back, unit("return_date"))
+    try:
+        _put(path, "fact_returns", dealt)
+        _put(path, "returns_parts", dealt.groupBy(
+            *_SLICED, "return_date", "store_id", "product_id").agg(
+            F.sum("return_quantity").alias("return_quantity")))
+    finally:
+        dealt.unpersist()
 
 
 # -- aggregates, column for column those of ``gold`` --------------------------------
@@ -182,6 +184,47 @@ def _on_days(rows: DataFrame, date: Column, days: DataFrame) -> DataFrame:
                      & (date.isNull() == F.col("day").isNull()), "left_semi")
 
 
+def _branded(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with the brand; of a product that is there several times, with each, ``_copy`` from 1."""
+    copies = Window.partitionBy("product_id").orderBy("product_brand")
+    brands = products.select(F.col("product_id").cast("string").alias("product_id"), "product_brand").where(
+        "product_id is not null").withColumn("_copy", F.row_number().over(copies))
+    return sales.join(brands, "product_id", "left")
+
+
+def _dealt(rows: DataFrame, days: DataFrame, date: Column) -> DataFrame:
+    """Rows and fillers, shuffled once for all tables: by day (or month) and a slice of the stores.
+
+    What is grouped by day, slice, store and more needs no other shuffle and lies as it is written:
+    a store's day (or month) is in one task.  Kept on the executors' disks for the tables made of it.
+    """
+    spark = rows.sparkSession
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(own, int(spark.conf.get(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))) // 2)
+    slices = -(-2 * tasks // max(1, days.count()))
+    filler = days.select(F.lit(True).alias(_FILLER), F.col("day").alias(_PART))
+    every = rows.select("*", F.lit(False).alias(_FILLER), date.alias(_PART)).unionByName(
+        filler, allowMissingColumns=True)
+    return every.withColumn(_SLICE, F.pmod(F.xxhash64("store_id"), F.lit(slices)).cast("int")).repartition(
+        tasks, _PART, _SLICE).persist(StorageLevel.DISK_ONLY)
+
+
+def _totals(dealt: DataFrame, *keys: str) -> DataFrame:
+    return dealt.groupBy(*_SLICED, *keys).agg(
+        F.sum("quantity").alias("total_units"), *(exact_sum(c).alias(c) for c in _MONEY),
+        F.count_distinct("customer_id").alias("unique_customers"), F.count(F.lit(1)).alias("total_transactions"))
+
+
+def _put(path: str, name: str, dealt: DataFrame) -> None:
+    """Replaces the days (or months) that ``dealt``, clustered by them, has rows or fillers of."""
+    day, columns = TABLES[name]
+    named = [c.split()[0] for c in columns.split(",")]
+    dealt.select(*named, day, _FILLER, _PART).sortWithinPartitions(_PART, "store_id", day).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
+        _PART).parquet(f"{path}/{name}")
+
+
 def _replace(path: str, name: str, rows: DataFrame, days: DataFrame) -> None:
     day, columns = TABLES[name]
     named = [c.split()[0] for c in columns.split(",")]

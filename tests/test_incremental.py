@@ -123,3 +123,28 @@ def test_nothing_to_refresh(shop):
     shop.refresh()
     shop.check()
 
+
+
+def test_tables_of_a_refresh_share_one_shuffle(shop, spark):
+    sales, _ = shop.facts()
+    days = incremental._kept(spark, sales.select("transaction_date"), F.col)
+    dealt = incremental._dealt(incremental._branded(sales, shop.products), days, F.col("transaction_date"))
+    assert dealt.where("not _filler").count() == len(SOLD)
+    for made in (incremental._totals(dealt, "transaction_date", "store_id"),
+                 incremental._totals(dealt, "store_id", "product_brand"),
+                 dealt.select(*incremental._SLICED, "store_id", "customer_id").distinct()):
+        made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryRelation" in plan and "Exchange" not in plan.split("InMemoryRelation")[0]
+    dealt.unpersist()
+
+
+def test_a_product_that_is_there_twice_makes_no_more_facts(shop, spark):
+    sales, returns = shop.facts()
+    twice = shop.products.unionByName(shop.products.where("product_id = '1'").withColumn("product_brand", F.lit("B0")))
+    incremental.refresh(spark, shop.path, sales=sales, returns=returns, products=twice, by="month",
+                        sale_days=sales.select("transaction_date"), return_days=returns.select("return_date"))
+    assert rows(incremental.table(spark, shop.path, "fact_sales").select(sales.columns)) == rows(sales)
+    sold = incremental.agg_monthly_sales(spark, shop.path).where("store_id = 100 and month = 1")
+    assert set(rows(sold.select("product_brand", "total_units", "unique_customers"))) == {
+        (None, 4, 1), ("B0", 5, 2), ("B1", 5, 2)}
