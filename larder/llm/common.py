@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -56,13 +56,21 @@ def held(name, make):
 
 
 def forget() -> None:
-    """Drops what this worker keeps, as operators do that keep nothing."""
+    """Drops what this worker keeps, as operators do that keep nothing, and what its last task left."""
     if _held:
         _held.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        if _trim is not None:
-            _trim(0)
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def lean(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task that keeps nothing: it drops what the worker kept before, and gives
+    back what it took itself, so that workers that wait for their next task are small."""
+    forget()
+    yield from made
+    forget()
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

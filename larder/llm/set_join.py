@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import bitmap, components, forget, lists, maybe_in, reachable, stored, text_bytes
+from larder.llm.common import bitmap, components, forget, lean, lists, maybe_in, reachable, stored, text_bytes
 
 #: Documents that common shingles are counted in, and how many of those are put last at most.
 SAMPLE, COMMON = 2_000, 1 << 18
@@ -135,7 +135,7 @@ def judged(pairs: DataFrame, first: DataFrame, own: DataFrame, width: int,
     num, den = least
     seen_of = lambda end, name: first.select(F.col("node").alias(end), F.col("sketch").alias(name))
     pairs = stored(pairs.join(seen_of("a", "x"), "a").join(seen_of("b", "y"), "b").select(
-        "a", "b", "x", "y").mapInArrow(lambda b: _rough(b, num, den), "a long, b long"), f"{label}-pairs")
+        "a", "b", "x", "y").mapInArrow(lambda b: lean(_rough(b, num, den)), "a long, b long"), f"{label}-pairs")
     ends = pairs.select(F.col("a").alias("of")).unionByName(
         pairs.select(F.col("b").alias("of"))).distinct()
     needs = stored(first.join(ends, F.col("node") == F.col("of")).select(
@@ -147,7 +147,7 @@ def judged(pairs: DataFrame, first: DataFrame, own: DataFrame, width: int,
         pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
         .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
         .select("a", "b", "x", "y").mapInArrow(
-            lambda b: _verified(b, width, num, den), "a long, b long, same boolean"), label)
+            lambda b: lean(_verified(b, width, num, den)), "a long, b long, same boolean"), label)
 
 
 def groups(docs: DataFrame, width: int = 5, least: tuple[int, int] = (4, 5), *,

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import set_join
-from larder.llm.common import components, forget, lists, reachable, stored, text_bytes
+from larder.llm.common import components, lean, lists, reachable, stored, text_bytes
 
 #: Fingerprints of a bucket that one task compares each with each; a larger bucket is split again
 #: (one word) or compared part by part (four words).
@@ -203,7 +203,7 @@ def links(fps: DataFrame, blocks: Blocks) -> DataFrame:
 
     def forest(rows: DataFrame) -> DataFrame:
         return (rows.repartition("choice", "bits").sortWithinPartitions("choice", "bits")
-                .mapInArrow(lambda b: _by_bucket(b, lambda rows: _linked(rows, blocks.distance)),
+                .mapInArrow(lambda b: lean(_by_bucket(b, lambda rows: _linked(rows, blocks.distance))),
                             "a long, b long"))
 
     if sizes.isEmpty():
@@ -256,7 +256,6 @@ def groups(docs: DataFrame, width: int = 5, blocks: Blocks = Blocks(), *,
 
 def _prints(batches, width: int, words: int):
     """Per row its distinct shingles' hash, sketch and fingerprint."""
-    forget()
     for batch in batches:
         node, sketches, fps = [], [], []
         for text in text_bytes(batch.column("text")):
@@ -305,20 +304,20 @@ def _verified_groups(own: DataFrame, width: int, blocks: Blocks, least: tuple[in
     Each round judges a forest of every bucket.  What that ties is one group; buckets in which
     more pairs are near are gone over again for pairs of different groups, in the end all.
     """
-    rows = stored(own.mapInArrow(lambda b: _prints(b, width, blocks.words),
+    rows = stored(own.mapInArrow(lambda b: lean(_prints(b, width, blocks.words)),
                                  "doc_id long, key long, node long, sketch binary, fp array<long>"), "simhash")
     first = stored(rows.groupBy("node").agg(
         F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("sketch").alias("sketch"),
         F.first("fp").alias("fp")), "simhash-first")
     kinds = "choice int, bits long, node long, fp array<long>"
     sampled = first.select("node", "fp").filter(F.pmod("node", F.lit(COUNTED)) == 0)
-    sizes = stored(sampled.mapInArrow(lambda b: _spread(b, blocks), kinds).groupBy("choice", "bits").agg(
+    sizes = stored(sampled.mapInArrow(lambda b: lean(_spread(b, blocks)), kinds).groupBy("choice", "bits").agg(
         (F.count("*") * COUNTED).alias("n")).filter(F.col("n") > LARGE_VERIFIED), "simhash-large")
     split, seen, tied = not sizes.isEmpty(), None, None
     now = first.select("node", "fp", F.col("node").alias("root"))
     for turn in range(FORESTS + 1):
         every = turn == FORESTS
-        keyed = now.mapInArrow(lambda b: _spread(b, blocks), f"{kinds}, root long")
+        keyed = now.mapInArrow(lambda b: lean(_spread(b, blocks)), f"{kinds}, root long")
         if split:
             hot = keyed.join(sizes, ["choice", "bits"])
             keyed = keyed.join(sizes, ["choice", "bits"], "left_anti").select(
@@ -326,7 +325,7 @@ def _verified_groups(own: DataFrame, width: int, blocks: Blocks, least: tuple[in
         found = stored(
             keyed.repartition("choice", "bits").sortWithinPartitions(
                 "choice", "bits", F.xxhash64("node", F.lit(turn)))  # another forest each time
-            .mapInArrow(lambda b, e=every: _by_bucket(b, lambda t: _near(t, blocks.distance, e)),
+            .mapInArrow(lambda b, e=every: lean(_by_bucket(b, lambda t: _near(t, blocks.distance, e))),
                         "a long, b long").distinct(), "simhash-near")
         pairs = found.filter("a <> b")
         if seen is not None:

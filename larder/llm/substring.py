@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import bitmap, lists, maybe_in, reachable, stored
+from larder.llm.common import bitmap, lean, lists, maybe_in, reachable, stored
 
 BLOCK = 512
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
@@ -117,7 +117,7 @@ def anchors(rows: DataFrame, window: int) -> DataFrame:
                                        "at": pa.array(at, pa.int32()), "h": pa.array(h, pa.int64())})
 
     return rows.filter("doc_id is not null and text is not null").select(
-        "key", "doc_id", "text").mapInArrow(find, "key long, doc_id long, at int, h long")
+        "key", "doc_id", "text").mapInArrow(lambda b: lean(find(b)), "key long, doc_id long, at int, h long")
 
 
 def _blocks(shared: DataFrame, rows: DataFrame, window: int) -> DataFrame:
@@ -149,7 +149,7 @@ def _blocks(shared: DataFrame, rows: DataFrame, window: int) -> DataFrame:
                                        zip(names, zip(*out[at:at + 2000]), kinds)})
 
     return there.join(each, "key").select("key", "block_doc", "parts", "text").mapInArrow(
-        slices, "key long, part long, block_doc long, start int, body binary"
+        lambda b: lean(slices(b)), "key long, part long, block_doc long, start int, body binary"
     ).dropDuplicates(["key", "part"])
 
 
@@ -184,8 +184,9 @@ def _parse(batches, window: int):
     """Per document: spans of duplicate windows, and windows to look up by hash."""
     for batch in batches:
         out = []
-        for key, doc, text, blocks in zip(*(batch.column(c).to_pylist()
-                                            for c in ("key", "doc_id", "text", "blocks"))):
+        # one document at a time: as Python objects its blocks take many times their batch's bytes
+        for key, doc, text, blocks in ((v.as_py() for v in row) for row in zip(
+                *(batch.column(c) for c in ("key", "doc_id", "text", "blocks")))):
             h = word_hashes(words_of(text.encode()))
             own = minimizers(rolling(h, gram_of(window)), window)
             known = np.zeros(len(own), bool)
@@ -271,7 +272,7 @@ def spans(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
         ).alias("block")).groupBy("key").agg(F.collect_list("block").alias("blocks"))
     asked = rows.filter(maybe_in(F.col("key"), bitmap(seeds.select("of"))))
     parsed = stored(asked.join(needs, "key").select("key", "doc_id", "text", "blocks").mapInArrow(
-        lambda b: _parse(b, window), _PARSED), "factors")
+        lambda b: lean(_parse(b, window)), _PARSED), "factors")
     asks = parsed.select("key", "doc_id", F.explode("asks").alias("w")).select(
         "key", "doc_id", "w.at", "w.w1", "w.w2")
     first = stored(asks.groupBy("w1", "w2").agg(
@@ -330,7 +331,7 @@ def deduplicated(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     clean, cut = _parted(rows, window, "doc_id", "text")
     kind = "doc_id long, text string, _words long, _removed long"
-    made = clean.unionByName(cut).mapInArrow(lambda b: _kept(b, "text"), kind)
+    made = clean.unionByName(cut).mapInArrow(lambda b: lean(_kept(b, "text")), kind)
     return made.select("doc_id", "text", F.col("_words").alias("n_words"),
                        F.col("_removed").alias("n_removed"))
 
@@ -343,6 +344,6 @@ def cut(docs: DataFrame, window: int = 50, *, doc_id: str = "doc_id",
     order = [f for f in touched.schema.fields if f.name not in (text, "_spans")]
     kind = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in order),
                       f"`{text}` string", "_words long", "_removed long"])
-    made = touched.mapInArrow(lambda b: _kept(b, text, untouched=True), kind)
+    made = touched.mapInArrow(lambda b: lean(_kept(b, text, untouched=True)), kind)
     left = made.filter((F.col("_removed") == 0) | (F.col("_removed") < F.col("_words")))
     return clean.select(docs.columns).unionByName(left.select(docs.columns))

@@ -201,7 +201,7 @@ def _dealt(rows: DataFrame, days: DataFrame, date: Column) -> DataFrame:
     spark = rows.sparkSession
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(own, int(spark.conf.get(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))) // 2)
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))))
     slices = -(-2 * tasks // max(1, days.count()))
     filler = days.select(F.lit(True).alias(_FILLER), F.col("day").alias(_PART))
     every = rows.select("*", F.lit(False).alias(_FILLER), date.alias(_PART)).unionByName(

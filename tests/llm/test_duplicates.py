@@ -232,3 +232,45 @@ def test_sketches_never_lose_a_shared_hash():
     assert 9 * most < 4 * 4_000  # unrelated sets have no room for a similarity of 0.8
     heap = np.arange(70_000, dtype=np.uint64)  # all in one place: wider counts
     assert set_join.shared_at_most(set_join.sketch(heap), set_join.sketch(heap)) == (70_000, 140_000)
+
+
+def test_a_worker_that_waits_keeps_nothing(monkeypatch):
+    from larder.llm import common
+    trims = []
+    monkeypatch.setattr(common, "_trim", trims.append)
+    common.held("some cache", lambda: [0])
+    trims.clear()
+    batches = common.lean(iter([1, 2]))
+    assert next(batches) == 1 and not common._held and trims == [0]
+    assert list(batches) == [2] and trims == [0, 0]
+
+
+def test_passages_take_one_document_at_a_time_apart():
+    """The blocks of a whole batch never stand as Python objects at once."""
+    import pyarrow as pa
+    from larder.llm import substring
+
+    class Column:
+        def __init__(self, values, name):
+            self.values, self.name = values, name
+
+        def __iter__(self):
+            return iter(self.values)
+
+        def to_pylist(self):
+            raise AssertionError(f"all of {self.name} at once")
+
+    words = " ".join(f"w{i}" for i in range(60))
+    kind = pa.list_(pa.struct([("block_doc", pa.int64()), ("body", pa.binary()),
+                               ("seeds", pa.list_(pa.struct([("at", pa.int32()), ("there", pa.int32())])))]))
+    at = int(substring.minimizers(substring.rolling(substring.word_hashes(
+        substring.words_of(words.encode())), 25), 50)[0])
+    columns = {"key": pa.array([7]), "doc_id": pa.array([2]), "text": pa.array([words]), "blocks": pa.array(
+        [[{"block_doc": 1, "body": words.encode(), "seeds": [{"at": at, "there": at}]}]], kind)}
+
+    class Batch:
+        def column(self, name):
+            return Column(list(columns[name]), name)
+
+    out, = substring._parse([Batch()], 50)
+    assert out.column("spans").to_pylist() == [[{"start": 0, "end": 60}]]
