@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable
 
 from larder.llm.common import held
 
@@ -24,8 +25,15 @@ _LATIN = re.compile("[!-~À-ÖØ-öø-ÿ ]+")
 _LATIN_TEXT = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _MARK = re.compile("(?<=[a-zà-öø-ÿ])([,.;:!?])(?![^ \t\n\r])")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A plain word, where a blank before it belongs to it and where not.
+_PLAIN = {True: re.compile(f" ?{_LETTERS.pattern}"), False: _LETTERS}
 _MARKS = ",.;:!?"
+#: Runs of letters and of marks and single digits, as a vocabulary may split a Latin segment.
+_PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
+_PROBE = "ab12.,c$#d!"
 _LONGEST = 96
+#: Characters of texts whose new segments are encoded together.
+_STRETCH = 1 << 18
 
 
 def library(path: str):
@@ -64,6 +72,9 @@ class Memo(dict):
         self.model, self.letters = self.library.model, byte_letters()
         self.spaced = self._whole(" a") != self._whole("a")
         self.lower = self._whole("A") == self._whole("a")
+        rule = self.library.pre_tokenizer
+        self.split = not self.spaced and rule is not None and [
+            w for w, _ in rule.pre_tokenize_str(_PROBE)] == _PARTS.findall(_PROBE)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -78,12 +89,45 @@ class Memo(dict):
         made = self.old.get(segment) if self.old else None
         if made is None:
             made = self._made(segment)
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
+        self._room(1)
         self[segment] = made
         return made
 
+    def _room(self, more: int) -> None:
+        if len(self) + more > self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def learn(self, segments: list[str]) -> None:
+        """Takes in distinct segments that the young generation lacks, new ones at once."""
+        old = self.old
+        known = {s: old[s] for s in segments if s in old} if old else {}
+        found = [s for s in segments if len(s) <= _LONGEST and s not in known]
+        made = self._all(found)
+        self._room(len(known) + len(found))
+        self.update(known)
+        self.update(zip(found, made))
+
+    def _parts(self, segment: str) -> list[str] | tuple[str] | None:
+        """The words that the merge model takes as they are; none if splitting takes the library."""
+        if self.lower and segment != segment.lower():
+            return None
+        if _PLAIN[self.spaced].fullmatch(segment):
+            return (segment,)
+        if self.split and _LATIN.fullmatch(segment) and "'" not in segment and "<|" not in segment:
+            return _PARTS.findall(segment)
+        return None
+
+    def _all(self, segments: list[str]) -> list[bytes]:
+        """What ``_made`` gives for each; words go to the merge model one after another."""
+        parts = [self._parts(s) for s in segments]
+        words = [w for w in set().union(*(p for p in parts if p)) if w not in self]
+        letters, tokenize = self.letters | {0: "\0"}, self.model.tokenize
+        made = {w: array("I", [t.id for t in tokenize(x)]).tobytes() for w, x in zip(
+            words, "\0".join(words).translate(letters).split("\0"))}
+        return [made[s] if s in made else b"".join([made[w] if w in made else self[w] for w in p])
+                if p else self._made(s) for s, p in zip(segments, parts)]
+
     def _made(self, segment: str) -> bytes:
         if self.lower and not segment.islower() and "<|" not in segment:
             low = segment.lower()
@@ -108,6 +152,21 @@ class Memo(dict):
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.cut(text)))
 
+    def many(self, texts: Iterable[str | None]) -> list[bytes]:
+        """The ids of each text, none for null; what a stretch of texts brings anew is encoded at once."""
+        out, stretch, size = [], [], 0
+        for text in texts:
+            stretch.append(self.cut(text) if text else [])
+            size += len(text or "")
+            if size >= _STRETCH:
+                out += self._stretch(stretch)
+                stretch, size = [], 0
+        return out + self._stretch(stretch)
+
+    def _stretch(self, cuts: list[list[str]]) -> list[bytes]:
+        self.learn([s for s in set().union(*cuts) if s not in self])
+        return [b"".join(map(self.__getitem__, cut)) for cut in cuts]
+
 
 def memo(path: str, kind: type[Memo] = Memo) -> Memo:
     """The worker's memo of a vocabulary."""

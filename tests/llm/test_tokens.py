@@ -135,3 +135,56 @@ def test_token_counts_widen_when_nothing_aligns(spark):
 
 def test_token_counts_of_an_empty_table(empty):
     assert token_counts.counts(empty, BYTES).count() == 0
+
+
+MIXED = ["ab$$$ cd76xyz9, ef.### Ünï!! a12b'sc 'tis <|endoftext|>x, {a}[1] AB$$ \x00 a\x00b", None, "", "x" * 90 + "1!",
+         "中文 字符，ab мир!! 12३ éa$ ß€µ×÷", "<|startoftext|> a<|b c|>d", "don't, it's.\n\n  X.y,z;w"]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_new_segments_are_encoded_together(path, rows, monkeypatch):
+    texts = [t for _, t in rows] + MIXED
+    small, known = segments.Memo(path, room=60), segments.Memo(path)
+    want = [known.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    single = []
+    monkeypatch.setattr(segments.Memo, "_whole", lambda memo, s, whole=segments.Memo._whole: (
+        single.append(s), whole(memo, s))[1])
+    for memo in (small, known, known):  # the last time all is known
+        assert [np.frombuffer(x, "<u4").tolist() for x in memo.many(texts)] == want
+    assert path == BYTES or "cd76xyz9," not in single and "ab$$$" not in single
+    assert small.many([]) == []
+
+
+def test_short_pieces_are_merged_side_by_side(monkeypatch):
+    known = byte_bpe.Codec(RANKS)
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known.ranks, special_tokens={})
+    draw = random.Random(3)
+    pieces = [bytes(draw.choice(b"aetn \xc3\xa9s") for _ in range(draw.randrange(1, 70))) for _ in range(600)]
+    pieces += [b"a" * n for n in range(1, 80)] + ["中文字符мир".encode(), b"", b"\x00\xff"]
+    monkeypatch.setattr(known.merges, "ROWS", 50, raising=False)
+    for piece, ids in zip(pieces, known.pieces(pieces)):
+        plain = [known.ranks[piece]] if piece in known.ranks else byte_bpe.merged(known.ranks, piece)
+        assert np.frombuffer(ids, "<u4").tolist() == plain == known.piece(piece) if piece else ids == b""
+    assert "trie" not in byte_bpe.Codec(RANKS).__dict__  # only long pieces need it
+    memo = byte_bpe.Pieces((RANKS, public_tokenizers.PATTERN), room=60)
+    for text, ids in zip(MIXED, memo.many(MIXED)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text or "", disallowed_special=())
+
+
+def test_a_byte_without_a_token_is_an_error(tmp_path):
+    (tmp_path / "few").write_bytes(b"YQ== 0\nYg== 1\nYWI= 2\n")
+    known = byte_bpe.Codec(str(tmp_path / "few"))
+    assert known.pieces([b"abb", b"ab"]) == [b"\2\0\0\0\1\0\0\0", b"\2\0\0\0"]
+    with pytest.raises(ValueError):
+        known.pieces([b"abc"])
+
+
+def test_rows_of_no_ids_decode_to_nothing(spark):
+    known = byte_bpe.Codec(RANKS)
+    ids = known.piece("mír a".encode())
+    ranks, pattern = RANKS, public_tokenizers.PATTERN
+    some = spark.createDataFrame([(1, ids), (2, []), (3, None), (4, ids[:1])], "n int, ids array<int>").coalesce(1)
+    got = {r["n"]: bytes(r["b"]) for r in some.select("n", byte_bpe.decode("ids", ranks, pattern).alias("b")).collect()}
+    assert got == {1: "mír a".encode(), 2: b"", 3: b"", 4: known.bytes[ids[0]]}
+    none = some.filter("n = 2 or n = 3").select(byte_bpe.decode("ids", ranks, pattern).alias("b")).collect()
+    assert [bytes(r["b"]) for r in none] == [b"", b""]
