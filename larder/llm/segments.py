@@ -28,9 +28,6 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: A plain word, where a blank before it belongs to it and where not.
 _PLAIN = {True: re.compile(f" ?{_LETTERS.pattern}"), False: _LETTERS}
 _MARKS = ",.;:!?"
-#: Runs of letters and of marks and single digits, as a vocabulary may split a Latin segment.
-_PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
-_PROBE = "ab12.,c$#d!"
 _LONGEST = 96
 #: Characters of texts whose new segments are encoded together.
 _STRETCH = 1 << 18
@@ -72,9 +69,6 @@ class Memo(dict):
         self.model, self.letters = self.library.model, byte_letters()
         self.spaced = self._whole(" a") != self._whole("a")
         self.lower = self._whole("A") == self._whole("a")
-        rule = self.library.pre_tokenizer
-        self.split = not self.spaced and rule is not None and [
-            w for w, _ in rule.pre_tokenize_str(_PROBE)] == _PARTS.findall(_PROBE)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -108,25 +102,8 @@ class Memo(dict):
         self.update(known)
         self.update(zip(found, made))
 
-    def _parts(self, segment: str) -> list[str] | tuple[str] | None:
-        """The words that the merge model takes as they are; none if splitting takes the library."""
-        if self.lower and segment != segment.lower():
-            return None
-        if _PLAIN[self.spaced].fullmatch(segment):
-            return (segment,)
-        if self.split and _LATIN.fullmatch(segment) and "'" not in segment and "<|" not in segment:
-            return _PARTS.findall(segment)
-        return None
-
     def _all(self, segments: list[str]) -> list[bytes]:
-        """What ``_made`` gives for each; words go to the merge model one after another."""
-        parts = [self._parts(s) for s in segments]
-        words = [w for w in set().union(*(p for p in parts if p)) if w not in self]
-        letters, tokenize = self.letters | {0: "\0"}, self.model.tokenize
-        made = {w: array("I", [t.id for t in tokenize(x)]).tobytes() for w, x in zip(
-            words, "\0".join(words).translate(letters).split("\0"))}
-        return [made[s] if s in made else b"".join([made[w] if w in made else self[w] for w in p])
-                if p else self._made(s) for s, p in zip(segments, parts)]
+        return [self._made(s) for s in segments]
 
     def _made(self, segment: str) -> bytes:
         if self.lower and not segment.islower() and "<|" not in segment:
