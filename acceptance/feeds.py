@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larder.operators import quality, scd2
 from larder.plans import gold, ops, silver
-from larder.session import work_dir
+from larder.session import FREEING, using, work_dir
 from larder.sources import lineage, topics
 
 CLOCK = "2024-02-01 00:00:00"       # stands in for the current time
@@ -372,7 +372,8 @@ class Lake:
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         path = work_dir(self.spark, name)
-        df.write.parquet(path)
+        with using(self.spark, FREEING):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cache

@@ -27,12 +27,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from larder.functions.money import exact_sum
 from larder.plans import gold
-from larder.session import work_dir
+from larder.session import FREEING, using, work_dir
 from larder.sources.tables import overwrite
 
 _FILLER, _PART, _SLICE = "_filler", "_part", "_slice"
 _SLICED = (_PART, _SLICE, _FILLER)
 _MONEY = ("total_revenue", "total_cost", "total_profit")
+# Days (or months) are refreshed together as far as their rows take so many shuffle partitions: what
+# is shuffled and kept on the way is on disk for one such group at a time.
+GROUP_TASKS = 1024
 _SUMS = ", ".join(f"{name} DOUBLE" for name in _MONEY)
 
 # Table: its day (or month) column and the other columns.
@@ -71,11 +74,26 @@ def refresh(spark: SparkSession, path: str, *, sales: DataFrame, returns: DataFr
     if by not in ("day", "month"):
         raise ValueError(f"by is day or month, not {by}")
     unit = (lambda date: F.trunc(date, "MM")) if by == "month" else F.col
-    sold, back = (_kept(spark, days, unit) for days in (sale_days, return_days))
-
-    dealt = _dealt(_branded(_on_days(sales, unit("transaction_date"), sold), products), sold,
-                   unit("transaction_date"))
+    with using(spark, FREEING):
+        sold, back = (_kept(spark, days, unit) for days in (sale_days, return_days))
+        for days in (groups := _groups(sold)):
+            _refresh_sales(path, sales, products, days, unit, by, len(groups))
+        if by == "day":
+            months = sold.select(F.trunc("day", "MM").alias("day")).distinct()
+            made = _merged(*(_on_days(_stored(spark, path, name), F.trunc(_PART, "MM"), months).withColumn(
+                "month_start", F.trunc("transaction_date", "MM")) for name in ("sales_parts", "buyers")),
+                ["month_start", "store_id", "product_brand"])
+            _replace(path, "monthly", made.withColumn(_PART, F.col("month_start")), months)
+        for days in (groups := _groups(back)):
+            _refresh_returns(path, returns, days, unit, len(groups))
+
+
+def _refresh_sales(path: str, sales: DataFrame, products: DataFrame, days: DataFrame,
+                   unit: Callable[[str], Column], by: str, groups: int) -> None:
+    dealt = _dealt(_branded(_on_days(sales, unit("transaction_date"), days), products), days,
+                   unit("transaction_date"), groups)
     try:
+        _release(dealt)
         _put(path, "fact_sales", dealt.where(F.coalesce("_copy", F.lit(1)) == 1))
         _put(path, "sales_parts", dealt.groupBy(
             *_SLICED, "transaction_date", "store_id", "product_id", "product_brand").agg(
@@ -89,15 +107,13 @@ def refresh(spark: SparkSession, path: str, *, sales: DataFrame, returns: DataFr
                 "month_start", F.trunc("transaction_date", "MM")), "month_start", "store_id", "product_brand"))
     finally:
         dealt.unpersist()
-    if by == "day":
-        months = sold.select(F.trunc("day", "MM").alias("day")).distinct()
-        made = _merged(*(_on_days(_stored(spark, path, name), F.trunc(_PART, "MM"), months).withColumn(
-            "month_start", F.trunc("transaction_date", "MM")) for name in ("sales_parts", "buyers")),
-            ["month_start", "store_id", "product_brand"])
-        _replace(path, "monthly", made.withColumn(_PART, F.col("month_start")), months)
-
-    dealt = _dealt(_on_days(returns, unit("return_date"), back), back, unit("return_date"))
+
+
+def _refresh_returns(path: str, returns: DataFrame, days: DataFrame, unit: Callable[[str], Column],
+                     groups: int) -> None:
+    dealt = _dealt(_on_days(returns, unit("return_date"), days), days, unit("return_date"), groups)
     try:
+        _release(dealt)
         _put(path, "fact_returns", dealt)
         _put(path, "returns_parts", dealt.groupBy(
             *_SLICED, "return_date", "store_id", "product_id").agg(
@@ -192,16 +208,26 @@ def _branded(sales: DataFrame, products: DataFrame) -> DataFrame:
     return sales.join(brands, "product_id", "left")
 
 
-def _dealt(rows: DataFrame, days: DataFrame, date: Column) -> DataFrame:
+def _tasks(spark: SparkSession) -> int:
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    return max(int(own), int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", own)))
+
+
+def _groups(days: DataFrame) -> list[DataFrame]:
+    """The days in so many groups that the shuffle of one has ``GROUP_TASKS`` partitions at most."""
+    groups = min(-(-_tasks(days.sparkSession) // GROUP_TASKS), max(1, days.count()))
+    return [days] if groups == 1 else [
+        days.where(F.pmod(F.xxhash64("day"), F.lit(groups)) == n) for n in range(groups)]
+
+
+def _dealt(rows: DataFrame, days: DataFrame, date: Column, groups: int = 1) -> DataFrame:
     """Rows and fillers, shuffled once for all tables: by day (or month) and a slice of the stores.
 
     What is grouped by day, slice, store and more needs no other shuffle and lies as it is written:
     a store's day (or month) is in one task.  Kept on the executors' disks for the tables made of it.
+    The days are one of so many ``groups``.
     """
-    spark = rows.sparkSession
-    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(own, int(spark.conf.get(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))))
+    tasks = -(-_tasks(rows.sparkSession) // groups)
     slices = -(-2 * tasks // max(1, days.count()))
     filler = days.select(F.lit(True).alias(_FILLER), F.col("day").alias(_PART))
     every = rows.select("*", F.lit(False).alias(_FILLER), date.alias(_PART)).unionByName(
@@ -210,6 +236,19 @@ def _dealt(rows: DataFrame, days: DataFrame, date: Column) -> DataFrame:
         tasks, _PART, _SLICE).persist(StorageLevel.DISK_ONLY)
 
 
+def _release(dealt: DataFrame) -> None:
+    """Fills ``dealt`` and drops the shuffle files its rows came by, or they would be on disk twice.
+
+    As Spark itself does after a write; a kept block that is lost is computed again, shuffles included.
+    """
+    dealt.count()
+    plan = dealt._jdf.queryExecution().withCachedData().cacheBuilder().cachedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        shuffles = dealt.sparkSession.sparkContext._jsc.sc().shuffleDriverComponents()
+        for shuffle in list(plan.context().shuffleIds()):
+            shuffles.removeShuffle(shuffle, False)
+
+
 def _totals(dealt: DataFrame, *keys: str) -> DataFrame:
     return dealt.groupBy(*_SLICED, *keys).agg(
         F.sum("quantity").alias("total_units"), *(exact_sum(c).alias(c) for c in _MONEY),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +60,27 @@ def sized(spark: SparkSession, folder: str) -> int:
     return first
 
 
+#: For plans that run once, as writes do: their shuffle files go when they end, not when the driver
+#: next collects garbage.
+FREEING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def using(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Holds session settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory below the cluster's shared checkpoint folder.
 

@@ -2,13 +2,15 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from acceptance.feeds import Lake
 from larder.plans import gold, incremental
-from larder.session import work_dir
+from larder.session import FREEING, using, work_dir
 
 D1, D2, D3 = dt.date(2024, 1, 5), dt.date(2024, 1, 6), dt.date(2024, 2, 6)
 STORES = """store_id INT, store_name STRING, store_city STRING, store_state STRING,
@@ -148,3 +150,53 @@ def test_a_product_that_is_there_twice_makes_no_more_facts(shop, spark):
     sold = incremental.agg_monthly_sales(spark, shop.path).where("store_id = 100 and month = 1")
     assert set(rows(sold.select("product_brand", "total_units", "unique_customers"))) == {
         (None, 4, 1), ("B0", 5, 2), ("B1", 5, 2)}
+
+
+def _shuffle_files(spark, known=()):
+    """Files of shuffles on disk that are not ``known``; their removal takes a moment."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    for _ in range(50):
+        found = {name for top in folders for _, _, names in os.walk(top) for name in names
+                 if name.startswith("shuffle_")} - set(known)
+        if not found:
+            break
+        time.sleep(0.2)
+    return found
+
+
+def test_a_refresh_leaves_no_shuffle_files(shop, spark):
+    sales, returns = ((f.write.parquet(f"{shop.path}-{n}"), spark.read.schema(f.schema).parquet(f"{shop.path}-{n}"))[1]
+                      for n, f in enumerate(shop.facts()))
+    known = _shuffle_files(spark)
+    incremental.refresh(spark, shop.path, sales=sales, returns=returns, products=shop.products, by="month",
+                        sale_days=sales.select("transaction_date"), return_days=returns.select("return_date"))
+    assert not _shuffle_files(spark, known)
+    Lake(spark, "")._stored("facts", sales.groupBy("store_id").count())
+    assert not _shuffle_files(spark, known)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_kept_rows_are_there_once(shop, spark):
+    sales, _ = shop.facts()
+    known = _shuffle_files(spark)
+    with using(spark, FREEING):
+        days = incremental._kept(spark, sales.select("transaction_date"), F.col)
+        dealt = incremental._dealt(sales, days, F.col("transaction_date"))
+        incremental._release(dealt)
+    assert not _shuffle_files(spark, known)
+    assert dealt.where("not _filler").count() == len(SOLD)
+    dealt.unpersist()
+
+
+@pytest.mark.parametrize("by", ["day", "month"])
+def test_days_in_groups_give_the_same_tables(shop, spark, monkeypatch, by):
+    monkeypatch.setattr(incremental, "GROUP_TASKS", 2)
+    dealt, made = incremental._dealt, []
+    monkeypatch.setattr(incremental, "_dealt", lambda *a: made.append(a[1].count()) or dealt(*a))
+    with using(spark, {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "6"}):
+        shop.refresh(by=by)
+        shop.check()
+        shop.sold += [("2", "13", "200", D1, 2)]
+        shop.refresh([D1], [], by=by)
+    shop.check()
+    assert len(made) == 3 + 3 + 1 + 1 and sum(made[:3]) == (4 if by == "day" else 3)
